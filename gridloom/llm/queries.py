@@ -7,15 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm.common import table
+from gridloom.llm.packing import pack
 from gridloom.llm.simhash import near_duplicates
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the public vocabulary files lie on this machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(), length=4096, end_id=2)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash}
+    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
