@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm.common import table
+from gridloom.llm import langid
 from gridloom.llm.packing import pack
 from gridloom.llm.simhash import near_duplicates
 
@@ -26,8 +27,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs.select("doc_id", "text", "lang"))
+    picked = docs.select("doc_id", langid.held_out("doc_id", 3, 1).alias("held_out"), "text")
+    return langid.identify(picked, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash}
+    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op10_language": op10_language}
 
 
 def oracle_sql() -> dict[str, str]:
