@@ -51,40 +51,57 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return picked.mapInArrow(run, "doc_id long, fp long")
 
 
-def ball_masks() -> tuple[list[int], list[int]]:
-    """Masks of the near ball (at most one bit) and of the far shell (two bits).
-
-    Two fingerprints three bits apart have different parity, so only odd ones need the shell;
-    and of three bits, two lie in the same half of the word, so the shell needs only pairs
-    within a half: 992 of 2016."""
-    one = [1 << i for i in range(BITS)]
-    half = BITS // 2
-    two = [one[i] | one[j] for h in (0, half) for i in range(h, h + half) for j in range(i + 1, h + half)]
+def half_masks(half: int) -> tuple[list[int], list[int], list[int]]:
+    """For one half of the word: its single bits, its pairs of bits, the other half's bits."""
     signed = lambda m: m - (1 << BITS) if m >> (BITS - 1) else m
-    return [0, *map(signed, one)], list(map(signed, two))
+    size = BITS // 2
+    own = [1 << i for i in range(half * size, (half + 1) * size)]
+    other = [1 << i for i in range((1 - half) * size, (2 - half) * size)]
+    pairs = [x | y for i, x in enumerate(own) for y in own[i + 1 :]]
+    return list(map(signed, own)), list(map(signed, pairs)), list(map(signed, other))
 
 
 def ball_links(nodes: DataFrame) -> DataFrame:
     """Links among distinct fingerprints ``nodes(node, fp)`` at three or fewer differing bits.
 
-    Every fingerprint emits the variants of its ball; those that share a variant meet after
-    one shuffle on the variant. A fingerprint at most one bit from the variant is within two
-    bits of every other such and within three of every one of the shell, so a bucket links
-    all its rows to its smallest near one; buckets without a near row link nothing there.
-    Any two fingerprints within three bits meet in a bucket in which one is near. A bucket
-    holds distinct fingerprints of one ball, thus never more than 2081, whatever the skew.
-    The distance of each link is verified after deduplication.
+    Meet in the middle: every fingerprint has as variants all words of its near ball (at most
+    one bit away), and those of odd parity also words two bits away; equal variants meet. Two
+    fingerprints three bits apart differ in parity, and two of the three bits lie in the same
+    half of the word, so the words two bits away need only pairs within a half: 992 of 2016.
+
+    A fingerprint at most one bit from a variant is within two bits of every other such and
+    within three of every one two bits away, so a variant links all its rows to its smallest
+    near one; a variant without a near row links nothing. A variant has at most 2081 rows,
+    since they are distinct words of its ball: no group grows with the data.
+
+    The variants are spelled out after the shuffle, not before: it goes by the half that is not
+    flipped, so that the 496 pairs of the other half travel as one row. Each link's distance
+    is verified after deduplication.
     """
-    near, far = ball_masks()
-    odd = F.bit_count("fp") % 2 == 1
+    spark = nodes.sparkSession
     masks = lambda m: F.array(*[F.lit(x).cast("long") for x in m])
-    variants = nodes.select("node", "fp", F.lit(True).alias("near"), F.explode(masks(near)).alias("mask")).union(
-        nodes.where(odd).select("node", "fp", F.lit(False).alias("near"), F.explode(masks(far)).alias("mask"))
-    )
-    bucket = Window.partitionBy("variant")
-    hub = F.min(F.when(F.col("near"), F.struct("node", "fp"))).over(bucket)
-    met = variants.select("node", "fp", "near", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant")).withColumn("hub", hub)
-    links = met.where("hub is not null and hub.node <> node").select(
+    odd = F.bit_count("fp") % 2 == 1
+    met = None
+    for half in (0, 1):
+        single, pairs, across = half_masks(half)
+        near = nodes if half == 0 else nodes.where(~odd)
+        rows = near.select("node", "fp", F.explode(masks([0, *across])).alias("outer"), F.lit(False).alias("far"))
+        rows = rows.union(nodes.where(odd).select("node", "fp", F.lit(0).cast("long"), F.lit(True)))
+        word = F.col("fp").bitwiseXOR(F.col("outer"))
+        key = F.shiftrightunsigned(word, 32) if half == 0 else word.bitwiseAND(F.lit((1 << 32) - 1))
+        rows = rows.withColumn("key", key * 2 + half)
+        met = rows if met is None else met.union(rows)
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    met = met.repartition(count, "key")
+    inner = F.when(F.col("outer") != 0, masks([0]))
+    for half in (0, 1):
+        single, pairs, _ = half_masks(half)
+        own = F.col("key") % 2 == half
+        inner = inner.when(own & F.col("far"), masks(pairs)).when(own, masks([0, *single]))
+    met = met.withColumn("inner", F.explode(inner))
+    met = met.withColumn("variant", F.col("fp").bitwiseXOR(F.col("outer")).bitwiseXOR(F.col("inner")))
+    hub = F.min(F.when(~F.col("far"), F.struct("node", "fp"))).over(Window.partitionBy("key", "variant"))
+    links = met.withColumn("hub", hub).where("hub is not null and hub.node <> node").select(
         F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.fp").alias("fa"), F.col("fp").alias("fb")
     )
     return links.distinct().where(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= 3).select("a", "b")
