@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -16,8 +19,10 @@ from pyspark.sql.window import Window
 from gridloom.llm.common import materialize
 
 #: Chunks between white space that a worker remembers; about 200 bytes each.
-CACHE = 500_000
+CACHE = 600_000
 SEPARATOR = "|"
+#: A full stop or comma beside another mark; such marks may form one pre-token.
+MARKS = re.compile(r"[.,](?:[^\w \n]|_)|(?:[^\w \n]|_)[.,]")
 
 
 class _Index(dict):
@@ -50,8 +55,21 @@ class ChunkEncoder:
         mark = self._ids([SEPARATOR, f"a {SEPARATOR} b", "a", "b"])
         alone = len(mark[0]) == 1 and [*mark[2], *mark[0], *mark[3]] == [*mark[1]]
         self.mark = int(mark[0][0]) if alone else None
+        spec = json.loads(self.tokenizer.to_str())
+        self.lowers = "Lowercase" in json.dumps(spec["normalizer"])
+        self.parts_marks = r"[^\\s\\p{L}\\p{N}]+" in json.dumps(spec["pre_tokenizer"])
         self.clear()
 
+    def _plain(self, text: str) -> str:
+        """The text in a form with the same ids and fewer different chunks: lower case, where
+        the tokenizer lower-cases, and stops and commas apart from words, where it parts them."""
+        text = text.replace("\n", " ")
+        if self.lowers and (text.isascii() or ("Σ" not in text and unicodedata.is_normalized("NFC", text))):
+            text = text.lower()
+        if self.parts_marks and not MARKS.search(text):
+            text = text.replace(".", " . ").replace(",", " , ")
+        return text
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -83,7 +101,7 @@ class ChunkEncoder:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if self.index.size > self.limit:
             self.clear()
-        texts = [t.replace("\n", " ") for t in texts]
+        texts = [self._plain(t) for t in texts]
         words = np.array([t.count(" ") + 1 for t in texts])
         chunks = " ".join(texts).split(" ")
         which = np.fromiter(map(self.index.__getitem__, chunks), dtype=np.int64, count=len(chunks))
@@ -149,13 +167,15 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
     return picked.mapInArrow(run, "part long, local_start long, doc_id long, doc_tokens long, ids binary")
 
 
-def with_global_start(tokens: DataFrame) -> DataFrame:
+def with_global_start(tokens: DataFrame, most_sent: int = 200_000) -> DataFrame:
     """Second half of the prefix sum: one total per partition of the first pass, summed in
     partition order, gives each partition's place in the stream. The totals are one row per
     input partition; they are joined by Spark's own choice of strategy."""
     totals = tokens.groupBy("part").agg(F.max(F.col("local_start") + F.col("doc_tokens")).alias("total"))
     before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     bases = totals.select("part", F.coalesce(before, F.lit(0)).alias("base"))
+    if totals.limit(most_sent + 1).count() <= most_sent:
+        bases = F.broadcast(bases)
     return tokens.join(bases, "part").withColumn("global_start", F.col("base") + F.col("local_start"))
 
 
