@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.llm.ann import nearest
 from gridloom.llm.common import table
 from gridloom.llm import langid
 from gridloom.llm.packing import pack
@@ -27,6 +28,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.learn(docs.select("doc_id", "text", "lang"))
@@ -35,7 +41,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op10_language": op10_language}
+    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
 
 
 def oracle_sql() -> dict[str, str]:
