@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.llm.ann import nearest
 from gridloom.llm.common import table
-from gridloom.llm import langid
+from gridloom.llm import langid, pii
 from gridloom.llm.packing import pack
 from gridloom.llm.simhash import near_duplicates
 
@@ -28,6 +29,17 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *map(number, pii.KINDS),
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.sort_array(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
@@ -41,7 +53,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
+    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op7_pii": op7_pii, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
 
 
 def oracle_sql() -> dict[str, str]:
