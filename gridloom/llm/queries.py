@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm.ann import nearest
-from gridloom.llm.common import table
-from gridloom.llm import langid, pii
+from gridloom.llm.common import materialize, table
+from gridloom.llm import langid, mixing, pii
 from gridloom.llm.packing import pack
 from gridloom.llm.simhash import near_duplicates
 
@@ -29,6 +29,58 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    per_source = materialize(mixing.weights(docs, max_repetition=2.0), "weights")
+    used = mixing.mix(docs, per_source, block_tokens=250_000, seed=42)
+    return used.drop("key", "whole")
+
+
+OP4_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce('=' || source, 'null') AS source, (strlen(coalesce(text, '')) + 3) // 4 AS size FROM documents
+),
+sums AS (SELECT source, sum(size)::BIGINT AS tokens FROM docs GROUP BY source),
+share AS (SELECT list(tokens / (SELECT sum(tokens) FROM sums)::DOUBLE) AS p FROM sums WHERE tokens > 0),
+bisect AS (
+  SELECT 0 AS step, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+  UNION ALL
+  SELECT step + 1, CASE WHEN ok THEN lo ELSE (lo + hi) / 2 END, CASE WHEN ok THEN (lo + hi) / 2 ELSE hi END
+  FROM (
+    SELECT step, lo, hi,
+      list_max(list_transform(p, lambda x: pow(x, (lo + hi) / 2 - 1))) <= 2.0 * list_min(list_transform(p, lambda x: pow(x, (lo + hi) / 2 - 1))) AS ok
+    FROM bisect, share WHERE step < 60
+  )
+),
+solved AS (
+  SELECT CASE WHEN list_max(list_transform(p, lambda x: 1 / x)) <= 2.0 * list_min(list_transform(p, lambda x: 1 / x)) THEN 0.0 ELSE hi END AS alpha, p
+  FROM bisect, share WHERE step = 60
+),
+reps AS (
+  SELECT source, tokens,
+    CASE WHEN tokens > 0 THEN pow(tokens / (SELECT sum(tokens) FROM sums)::DOUBLE, alpha - 1) / list_min(list_transform(p, lambda x: pow(x, alpha - 1))) ELSE 1.0 END AS repetition
+  FROM sums, solved
+),
+quota AS (
+  SELECT source, tokens, floor(repetition + 1e-9)::BIGINT AS whole,
+    greatest(0, floor((repetition - floor(repetition + 1e-9)) * tokens))::BIGINT AS rest
+  FROM reps
+),
+uses AS (
+  SELECT doc_id, source, size, tokens, whole, rest, epoch, md5('42:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS key
+  FROM docs JOIN quota USING (source), unnest(range(0, whole + CASE WHEN rest > 0 THEN 1 ELSE 0 END)) AS t(epoch)
+),
+placed AS (
+  SELECT *, floor(('0x' || substr(key, 1, 8))::BIGINT * ceil(greatest(tokens, 1) / 250000.0) / 4294967296.0)::BIGINT AS block,
+    coalesce(sum(size) OVER (PARTITION BY source, epoch ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM uses
+)
+SELECT doc_id, CASE WHEN source <> 'null' THEN substr(source, 2) END AS source, epoch, size AS tokens, block,
+  (epoch * tokens + before)::BIGINT AS before_tokens, (whole * tokens + rest)::BIGINT AS budget_tokens
+FROM placed WHERE epoch < whole OR before + size <= rest
+"""
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(table(spark, sf_dir, "documents"))
     number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -53,8 +105,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op7_pii": op7_pii, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
+    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op4_mixing": op4_mixing, "op7_pii": op7_pii, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_mixing": OP4_SQL}
