@@ -146,7 +146,7 @@ def nearest(
     tables: int = 2,
     success: float = 0.85,
     least: int = 400,
-    block: int = 1024,
+    block: int = 2048,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
 ) -> DataFrame:
@@ -178,10 +178,10 @@ def nearest(
             x = np.frombuffer(b"".join(keys.to_pylist()), "<f8").reshape(-1, sent.value.dim)
             for t in range(tables):
                 cell = sent.value.cells(x, t)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(cell), keys, b.column(1)], names=["table", "cell", "key", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(cell), keys, b.column(1)], names=["table", "cell", "key", "first"])
 
-    same = base.where(F.length("key") == size)
-    rows = materialize(same.mapInArrow(hashed, "table int, cell long, key binary, ids array<long>"), "cells")
+    same = base.where(F.length("key") == size).select("key", F.col("ids")[0].alias("first"))
+    rows = materialize(same.mapInArrow(hashed, "table int, cell long, key binary, first long"), "cells")
     counts: dict[int, dict[int, int]] = {t: {} for t in range(tables)}
     for r in rows.groupBy("table", "cell").count().collect():  # at most VALUES ** MOST_FUNCTIONS a table
         counts[r["table"]][r["cell"]] = r["count"]
@@ -210,9 +210,8 @@ def nearest(
         at, _ = plan.value
         for b in batches:
             where = [at[x] for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            salt = [int.from_bytes(key[:8], "little") % 1_000_003 + sum(ids) for key, ids in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            group = [g + s % p for (g, p), s in zip(where, salt)]
-            yield pa.RecordBatch.from_arrays([pa.array(group, pa.int64()), *b.columns[1:]], names=["block", "cell", "key", "ids"])
+            group = [g + i % p for (g, p), i in zip(where, b.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(group, pa.int64()), *b.columns[1:]], names=["block", "cell", "key", "first"])
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = plan.value
@@ -241,18 +240,17 @@ def nearest(
                         for g, cells in by.items():
                             for name, value in zip(out, (g, i, x.tobytes(), cells)):
                                 out[name].append(value)
-                kinds = {"block": pa.int64(), "query": pa.int64(), "key": pa.binary(), "cells": pa.list_(pa.int64())}
+                kinds = {"block": pa.int64(), "query": pa.int64(), "key": pa.binary(), "cells": pa.list_(pa.int32())}
                 yield pa.RecordBatch.from_arrays([pa.array(out[c], kinds[c]) for c in out], names=list(out))
 
     def scored(block_rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query": pd.Series(dtype="int64"), "key": pd.Series(dtype="object"), "first": pd.Series(dtype="int64"), "ids": pd.Series(dtype="object"), "score": pd.Series(dtype="float64")})
+        empty = pd.DataFrame({"query": pd.Series(dtype="int64"), "first": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         if block_rows.empty or asked.empty:
             return empty
         block_rows = block_rows.sort_values("cell", kind="stable").reset_index(drop=True)
         x = np.frombuffer(b"".join(block_rows["key"]), "<f8").reshape(len(block_rows), -1)
         q = np.frombuffer(b"".join(asked["key"]), "<f8").reshape(len(asked), -1)
-        ids = block_rows["ids"].to_numpy()
-        low = np.array([i[0] for i in ids])
+        low = block_rows["first"].to_numpy()
         own = asked["query"].to_numpy()
         cell = block_rows["cell"].to_numpy()
         row = np.repeat(np.arange(len(asked)), asked["cells"].map(len))
@@ -283,14 +281,18 @@ def nearest(
         best = _best(held, k + 1)
         a, b = best["query"].to_numpy(), best["at"].to_numpy()
         exact = np.einsum("ij,ij->i", q[a], x[b])
-        return pd.DataFrame({"query": own[a], "key": block_rows["key"].to_numpy()[b], "first": low[b], "ids": ids[b], "score": exact})
+        return pd.DataFrame({"query": own[a], "first": low[b], "score": exact})
 
-    left = rows.mapInArrow(placed, "block long, cell long, key binary, ids array<long>").groupBy("block")
+    left = rows.mapInArrow(placed, "block long, cell long, key binary, first long").groupBy("block")
     asked = queries.select(F.col(id_col).cast("long").alias("query"), F.col(vec_col).cast("array<double>").alias("v"))
-    right = asked.mapInArrow(probed, "block long, query long, key binary, cells array<long>").groupBy("block")
-    found = left.cogroup(right).applyInPandas(scored, "query long, key binary, first long, ids array<long>, score double")
-    merged = found.groupBy("query", "key").agg(F.first("ids").alias("ids"), F.max("score").alias("score"))
-    listed = merged.select("query", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query")
+    right = asked.mapInArrow(probed, "block long, query long, key binary, cells array<int>").groupBy("block")
+    found = left.cogroup(right).applyInPandas(scored, "query long, first long, score double")
+    merged = found.groupBy("query", "first").agg(F.max("score").alias("score"))
+    # k + 1 vectors hold k ids besides the query's own, whatever their copies
+    best = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "first"))
+    few = merged.withColumn("place", best).where(F.col("place") <= k + 1)
+    listed = few.join(base.select(F.col("ids")[0].alias("first"), "ids"), "first")
+    listed = listed.select("query", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     ranked = listed.withColumn("rank", place).where(F.col("rank") <= k)
     return ranked.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
