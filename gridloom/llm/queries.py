@@ -12,6 +12,7 @@ from gridloom.llm.common import materialize, table
 from gridloom.llm import langid, mixing, pii
 from gridloom.llm.packing import pack
 from gridloom.llm.simhash import near_duplicates
+from gridloom.llm.webp import store_texts
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -81,6 +82,10 @@ FROM placed WHERE epoch < whole OR before + size <= rest
 """
 
 
+def op6_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_texts(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(table(spark, sf_dir, "documents"))
     number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -105,7 +110,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op4_mixing": op4_mixing, "op7_pii": op7_pii, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
+    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op4_mixing": op4_mixing, "op6_webp": op6_webp, "op7_pii": op7_pii, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
 
 
 def oracle_sql() -> dict[str, str]:
