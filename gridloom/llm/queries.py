@@ -12,6 +12,7 @@ from gridloom.llm.common import materialize, table
 from gridloom.llm import langid, mixing, pii
 from gridloom.llm.packing import pack
 from gridloom.llm.simhash import near_duplicates
+from gridloom.llm.suffix_dedup import remove_repeats
 from gridloom.llm.webp import store_texts
 
 
@@ -82,6 +83,10 @@ FROM placed WHERE epoch < whole OR before + size <= rest
 """
 
 
+def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), width=100)
+
+
 def op6_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_texts(table(spark, sf_dir, "documents"))
 
@@ -110,7 +115,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op4_mixing": op4_mixing, "op6_webp": op6_webp, "op7_pii": op7_pii, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
+    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op4_mixing": op4_mixing, "op5_suffix": op5_suffix, "op6_webp": op6_webp, "op7_pii": op7_pii, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
 
 
 def oracle_sql() -> dict[str, str]:
