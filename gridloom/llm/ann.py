@@ -146,7 +146,7 @@ def nearest(
     tables: int = 2,
     success: float = 0.85,
     least: int = 400,
-    block: int = 2048,
+    block: int | None = None,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
 ) -> DataFrame:
@@ -161,7 +161,9 @@ def nearest(
     non-finite components, or are not of the most common length, take no part on either side.
 
     Cells are packed into blocks of about ``block`` vectors, large cells split over several, so
-    a hot cell spreads; a query is sent to a block once, with the list of its cells there.
+    a hot cell spreads; a query is sent to a block once, with the list of its cells there. By
+    default blocks grow with the root of the number of vectors, from 2048 to 500 000: then both
+    the copies of a query and a task's memory grow slower than the input.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -185,6 +187,8 @@ def nearest(
     counts: dict[int, dict[int, int]] = {t: {} for t in range(tables)}
     for r in rows.groupBy("table", "cell").count().collect():  # at most VALUES ** MOST_FUNCTIONS a table
         counts[r["table"]][r["cell"]] = r["count"]
+    held_vectors = sum(counts[0].values())
+    block = block or int(np.clip(32 * math.sqrt(held_vectors), 2048, 500_000))
     # blocks of neighbouring cells; a cell of more than one block's size gets several
     first: dict[tuple[int, int], tuple[int, int]] = {}
     used = 0
