@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.ann import nearest
 from gridloom.llm.common import materialize, table
-from gridloom.llm import langid, mixing, pii
+from gridloom.llm import langid, mixing, pii, toxicity
 from gridloom.llm.packing import pack
 from gridloom.llm.simhash import near_duplicates
 from gridloom.llm.suffix_dedup import remove_repeats
@@ -31,6 +31,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), most_rows=6000)
+    found = toxicity.score(docs, model)
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted")
+    return found.select("doc_id", langid.held_out("doc_id", 5, 0).alias("held_out"), "score", predicted, "worst_start", "worst_end")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     per_source = materialize(mixing.weights(docs, max_repetition=2.0), "weights")
@@ -115,7 +123,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op4_mixing": op4_mixing, "op5_suffix": op5_suffix, "op6_webp": op6_webp, "op7_pii": op7_pii, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
+    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op3_toxicity": op3_toxicity, "op4_mixing": op4_mixing, "op5_suffix": op5_suffix, "op6_webp": op6_webp, "op7_pii": op7_pii, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
 
 
 def oracle_sql() -> dict[str, str]:
