@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -43,7 +44,9 @@ def drop_table(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let the driver's cleaner drop the shuffle files of jobs that are over."""
+    """Let the driver's cleaner drop the shuffle files of jobs that are over: it does so once
+    both Python's and the JVM's handles on their plans are collected."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 

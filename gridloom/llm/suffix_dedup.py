@@ -141,14 +141,16 @@ def _groups(texts: list[bytes], width: int, most: int = CHUNK) -> Iterator[tuple
         yield np.array(rows), np.array(offsets), held
 
 
-RANGES = "doc_id long, start long, windows long"
-PHRASES = "trigger long, first long, last long, doc_id long, start long, windows long, known boolean"
+#: A run of windows in one number: its start above, the number of windows below.
+RUN = 32
+PHRASES = "trigger long, phrase long, doc_id long, run long"
 
 
 def phrases(docs: DataFrame, width: int) -> DataFrame:
-    """The parse of every text. Of equal phrases in one batch only the first occurrence goes on
-    as a phrase; the others are ``known`` to be repeated and travel as runs, so that a passage
-    in very many texts sends one row a batch."""
+    """The parse of every text: the trigger's hash, the phrase's, document and run of windows.
+    Of equal phrases in one batch only the first occurrence goes on as a phrase; the others
+    are known to be repeated and travel as runs with phrase 0, so that a passage in very many
+    texts sends one row a batch. Trigger and phrase together are a hash of 128 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -156,26 +158,38 @@ def phrases(docs: DataFrame, width: int) -> DataFrame:
             out: list[dict[str, np.ndarray]] = []
             for rows, offsets, texts in _groups(utf8(b.column(1)), width):
                 p = parse(texts, width)
-                out.append({"doc_id": ids[rows[p["text"]]].astype(np.int64), "start": p["start"] + offsets[p["text"]], **{k: p[k] for k in ("windows", "first", "last", "trigger")}})
+                phrase = _join_hashes(_join_hashes(p["first"], p["last"]), p["windows"].astype(np.uint64))
+                out.append(
+                    {
+                        "trigger": p["trigger"],
+                        "phrase": np.maximum(phrase, np.uint64(1)),
+                        "doc_id": ids[rows[p["text"]]].astype(np.int64),
+                        "start": p["start"] + offsets[p["text"]],
+                        "windows": p["windows"],
+                    }
+                )
             rows = {k: np.concatenate([o[k] for o in out]) for k in out[0]} if out else {}
             if not rows or not len(rows["doc_id"]):
                 continue
-            order = np.lexsort((rows["start"], rows["doc_id"], rows["windows"], rows["last"], rows["first"]))
-            rows = {k: v[order] for k, v in rows.items()}
+            order = np.lexsort((rows["start"], rows["doc_id"], rows["phrase"]))
+            phrase, trigger = rows["phrase"][order], rows["trigger"][order]
             again = np.zeros(len(order), bool)
-            again[1:] = np.logical_and.reduce([rows[k][1:] == rows[k][:-1] for k in ("first", "last", "windows")])
+            again[order[1:]] = (phrase[1:] == phrase[:-1]) & (trigger[1:] == trigger[:-1])
+            new = {k: v[~again] for k, v in rows.items()}
             yield pa.RecordBatch.from_pydict(
-                {k: rows[k][~again].view(np.int64) for k in ("trigger", "first", "last", "doc_id", "start", "windows")} | {"known": np.zeros(int((~again).sum()), bool)}
+                {"trigger": new["trigger"].view(np.int64), "phrase": new["phrase"].view(np.int64), "doc_id": new["doc_id"], "run": new["start"] << RUN | new["windows"]}
             )
-            doc, start, windows = merge_ranges(rows["doc_id"][again], rows["start"][again], rows["windows"][again])
-            zero = np.zeros(len(doc), np.int64)
-            # spread by the document: these rows only pass through
-            mixed = (doc.view(np.uint64) * _M1).view(np.int64)
-            yield pa.RecordBatch.from_pydict({"trigger": mixed, "first": zero, "last": zero, "doc_id": doc, "start": start, "windows": windows, "known": np.ones(len(doc), bool)})
+            doc, start, windows = merge_ranges(*(rows[k][again] for k in ("doc_id", "start", "windows")))
+            yield pa.RecordBatch.from_pydict({"trigger": _spread(doc), "phrase": np.zeros(len(doc), np.int64), "doc_id": doc, "run": start << RUN | windows})
 
     return docs.mapInArrow(run, PHRASES)
 
 
+def _spread(doc: np.ndarray) -> np.ndarray:
+    """Partitioning keys for rows that only pass through a shuffle."""
+    return (doc.astype(np.int64).view(np.uint64) * _M1).view(np.int64)
+
+
 def merge_ranges(doc: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Adjacent or overlapping runs of windows of a document as one run each."""
     if not len(doc):
@@ -195,58 +209,65 @@ def merge_ranges(doc: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tup
 
 
 def window_rows(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``(hash, doc_id, start)`` for every window of the ``wanted`` runs of windows."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
+    """``(hash, doc_id, run)`` for the windows of the ``wanted`` runs: one row with no number
+    of windows for the first of equal ones in a batch; the others, known to be repeated, as
+    runs with their number."""
+    lists = wanted.groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_pylist()
+            ids = b.column(0).to_numpy(zero_copy_only=False)
             runs = b.column(2).to_pylist()
+            found: list[np.ndarray] = []
             for rows, offsets, texts in _groups(utf8(b.column(1)), width):
                 buffer = np.frombuffer(b"".join(texts), np.uint8)
                 if len(buffer) < width:
                     continue
                 _, hashes = window_hashes(buffer, width)
                 begin = np.cumsum([0, *map(len, texts)])
-                doc, start, at = [], [], []
                 for k, (r, off, t) in enumerate(zip(rows, offsets, texts)):
-                    held = len(t) - width + 1
-                    for x in runs[r]:
-                        lo, hi = max(x["start"], off), min(x["start"] + x["windows"], off + held)
-                        if lo < hi:
-                            doc.append(np.full(hi - lo, ids[r]))
-                            start.append(np.arange(lo, hi))
-                            at.append(np.arange(lo, hi) - off + begin[k])
-                if doc:
-                    yield pa.RecordBatch.from_pydict({"hash": hashes[np.concatenate(at)].view(np.int64), "doc_id": np.concatenate(doc).astype(np.int64), "start": np.concatenate(start)})
+                    own = np.array(runs[r], np.int64)
+                    lo = np.maximum(own >> RUN, off)
+                    n = np.minimum((own >> RUN) + (own & ((1 << RUN) - 1)), off + len(t) - width + 1) - lo
+                    lo, n = lo[n > 0], n[n > 0]
+                    if len(n):
+                        start = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                        found.append(np.stack([hashes[start - off + begin[k]].view(np.int64), np.full(len(start), ids[r]), start]))
+            if not found:
+                continue
+            value, doc, start = np.concatenate(found, axis=1)
+            order = np.lexsort((start, doc, value))
+            again = np.zeros(len(order), bool)
+            again[order[1:]] = value[order][1:] == value[order][:-1]
+            yield pa.RecordBatch.from_pydict({"hash": value[~again], "doc_id": doc[~again], "run": start[~again] << RUN})
+            doc, start, windows = merge_ranges(doc[again], start[again], np.ones(int(again.sum()), np.int64))
+            yield pa.RecordBatch.from_pydict({"hash": _spread(doc), "doc_id": doc, "run": start << RUN | windows})
 
-    return docs.join(lists, "doc_id").select("doc_id", "text", "runs").mapInArrow(run, "hash long, doc_id long, start long")
+    return docs.join(lists, "doc_id").select("doc_id", "text", "runs").mapInArrow(run, "hash long, doc_id long, run long")
 
 
 def repeated_windows(docs: DataFrame, width: int = 100) -> DataFrame:
-    """``(doc_id, start, windows)``: the runs of windows of ``docs(doc_id, text)``, ids unique,
-    that also start earlier in the corpus."""
+    """``(doc_id, run)``: the runs of windows of ``docs(doc_id, text)``, ids unique, that also
+    start earlier in the corpus."""
     spark = docs.sparkSession
     rows = phrases(docs, width)
     # one shuffle by trigger orders both the occurrences of a phrase and the dictionary
-    order = ["first", "last", "windows", "doc_id", "start"]
-    by_phrase = Window.partitionBy("trigger", "known").orderBy(*order)
-    same = (F.lag("first").over(by_phrase) == F.col("first")) & (F.lag("last").over(by_phrase) == F.col("last")) & (F.lag("windows").over(by_phrase) == F.col("windows"))
-    whole = Window.partitionBy("trigger", "known")
-    differs = lambda c: F.min(c).over(whole) != F.max(c).over(whole)
-    marked = rows.withColumn("again", F.coalesce(same, F.lit(False)) | F.col("known"))
-    marked = marked.withColumn("shared", ~F.col("known") & (differs("first") | differs("last") | differs("windows")))
-    kept = marked.where("again or shared").select("doc_id", "start", "windows", "again")
-    kept = materialize(kept, "phrases")
+    in_order = Window.partitionBy("trigger").orderBy("phrase", "doc_id", "run")
+    whole = Window.partitionBy("trigger")
+    real = F.when(F.col("phrase") != 0, F.col("phrase"))
+    again = F.coalesce(F.lag("phrase").over(in_order) == F.col("phrase"), F.lit(False)) | (F.col("phrase") == 0)
+    marked = rows.withColumn("again", again).withColumn("shared", F.min(real).over(whole) != F.max(real).over(whole))
+    kept = materialize(marked.where("again or shared").select("doc_id", "run", "again"), "phrases")
+    del rows, marked
     release(spark)
-    runs = kept.where("again").select("doc_id", "start", "windows")
-    open_runs = kept.where("not again").select("doc_id", "start", "windows")
-    windows = window_rows(docs, open_runs, width)
-    place = F.row_number().over(Window.partitionBy("hash").orderBy("doc_id", "start"))
-    later = windows.withColumn("place", place).where("place > 1").select("doc_id", "start", F.lit(1).cast("long").alias("windows"))
-    later = materialize(later, "windows")
+    windows = window_rows(docs, kept.where("not again").select("doc_id", "run"), width)
+    known = F.col("run").bitwiseAND(F.lit((1 << RUN) - 1)) > 0
+    place = F.row_number().over(Window.partitionBy("hash").orderBy("known", "doc_id", "run"))
+    later = windows.withColumn("known", known).withColumn("place", place).where("known or place > 1")
+    later = materialize(later.select("doc_id", F.when(F.col("known"), F.col("run")).otherwise(F.col("run") + 1).alias("run")), "windows")
+    del windows
     release(spark)
-    return runs.union(later)
+    return kept.where("again").select("doc_id", "run").union(later)
 
 
 def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
@@ -261,7 +282,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
     picked = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
     numbered, ids = _numbered(picked)
     runs = repeated_windows(numbered, width)
-    lists = runs.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "windows"))).alias("runs"))
+    lists = runs.groupBy("doc_id").agg(F.sort_array(F.collect_list("run")).alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -269,7 +290,8 @@ def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
             for text, runs in zip(utf8(b.column(1)), b.column(2).to_pylist()):
                 kept, removed, spans, at = [], 0, 0, 0
                 for x in runs or ():  # sorted: runs that touch or overlap are one span
-                    lo, hi = x["start"], x["start"] + x["windows"] + width - 1
+                    lo = x >> RUN
+                    hi = lo + (x & ((1 << RUN) - 1)) + width - 1
                     if lo > at or not spans:
                         kept.append(text[at:lo])
                         spans += 1
