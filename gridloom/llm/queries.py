@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.ann import nearest
 from gridloom.llm.common import materialize, table
 from gridloom.llm import langid, mixing, pii, toxicity
+from gridloom.llm.html_extract import extract
 from gridloom.llm.packing import pack
 from gridloom.llm.simhash import near_duplicates
 from gridloom.llm.suffix_dedup import remove_repeats
@@ -115,6 +116,10 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.learn(docs.select("doc_id", "text", "lang"))
@@ -123,7 +128,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op3_toxicity": op3_toxicity, "op4_mixing": op4_mixing, "op5_suffix": op5_suffix, "op6_webp": op6_webp, "op7_pii": op7_pii, "op8_neighbours": op8_neighbours, "op10_language": op10_language}
+    return {"op1_packing": op1_packing, "op2_simhash": op2_simhash, "op3_toxicity": op3_toxicity, "op4_mixing": op4_mixing, "op5_suffix": op5_suffix, "op6_webp": op6_webp, "op7_pii": op7_pii, "op8_neighbours": op8_neighbours, "op9_html": op9_html, "op10_language": op10_language}
 
 
 def oracle_sql() -> dict[str, str]:
