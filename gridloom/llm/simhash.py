@@ -128,9 +128,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one_per_group(docs: DataFrame, width: int = 5) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is the smallest of its near-duplicate group, with
-    five-word shingles by default. Rows without an id stay; of repeated rows of one id, all
-    columns being equal, one stays."""
-    groups = near_duplicates(docs, width=width)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    five-word shingles by default. Rows without an id stay; of repeated rows of one id one
+    stays, whichever is read first."""
+    groups = materialize(near_duplicates(docs, width=width), "groups")
+    keep = groups.where("doc_id = component_id").groupBy("doc_id").count()
+    named = docs.join(keep, "doc_id", "left_semi")
+    if keep.where("count > 1").limit(1).count():
+        named = named.dropDuplicates(["doc_id"])
     return named.select(docs.columns).union(docs.where("doc_id is null"))
