@@ -28,9 +28,8 @@ def to_metres(lon: Column, lat: Column, newton: int = 14) -> tuple[Column, Colum
     phi, lam = F.radians(lat), F.radians(lon - centre)
     # Mollweide's angle: Newton steps on t + sin t = pi sin phi, held off the poles
     goal = F.lit(math.pi) * F.sin(phi)
-    t = F.lit(2.0) * phi
-    for _ in range(newton):
-        t = t - (t + F.sin(t) - goal) / F.greatest(F.lit(1.0) + F.cos(t), F.lit(1e-9))
+    step = lambda t, _: t - (t + F.sin(t) - goal) / F.greatest(F.lit(1.0) + F.cos(t), F.lit(1e-9))
+    t = F.aggregate(F.sequence(F.lit(1), F.lit(newton)), F.lit(2.0) * phi, step)
     theta = F.when(F.abs(F.abs(lat) - 90) < 1e-9, phi).otherwise(t / 2)
     moll_x = F.lit(2 * math.sqrt(2) / math.pi) * lam * F.cos(theta)
     moll_y = F.lit(math.sqrt(2)) * F.sin(theta) + F.signum(phi) * Y_SHIFT

@@ -34,7 +34,8 @@ def source_anomalies(sources: DataFrame) -> DataFrame:
             F.when(n > 1, "listed twice"), F.when(F.col("resampled"), "resampled"), F.when(F.col("block_y") > F.col("height"), "block taller than the file")
         )
     )
-    return sources.select("property", "depth", "relpath", F.explode(kinds).alias("anomaly"))
+    found = sources.withColumn("kinds", kinds)
+    return found.select("property", "depth", "relpath", F.explode("kinds").alias("anomaly"))
 
 
 def build_manifest(sources: DataFrame, offset: tuple[Column, Column], tile_px: int, base_url: Column, grid: GridSpec = GRID) -> DataFrame:

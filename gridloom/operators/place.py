@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gridloom.functions.crs import to_metres
 from gridloom.functions.lattice import cells_touching, div, guard, source_window
@@ -68,7 +67,7 @@ def place(rows: DataFrame, divisor: int) -> DataFrame:
     )
 
 
-def overwrite(pixels: DataFrame, order: str = "ordinal") -> DataFrame:
+def overwrite(pixels: DataFrame, order: str | Column = "ordinal") -> DataFrame:
     """The last writer of each pixel by manifest order, nodata included: NaN takes part and
     stays NaN. A partial aggregate, so tiles that don't overlap cost no more than their rows."""
     return pixels.groupBy(*PIXEL).agg(F.max_by("value", order).alias("value"))
@@ -183,8 +182,3 @@ def from_blocks(blocks: DataFrame, size: int) -> DataFrame:
         (F.col("by") * size + div(F.col("pos"), F.col("w"))).cast("int").alias("y"),
         (F.col("bx") * size + F.col("pos") % F.col("w")).cast("int").alias("x"), "value",
     )
-
-
-def ordered_last(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The last row of each key in a total order of several columns."""
-    return rows.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("rn = 1").drop("rn")

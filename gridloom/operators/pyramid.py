@@ -54,7 +54,8 @@ def regions(cells: DataFrame, factors: tuple[int, ...] = FACTORS, block: int = 4
         rows = rows.select(F.lit(f).alias("factor"), "by", F.explode(F.sequence("x0", "x1")).alias("bx")).distinct()
         out = rows if out is None else out.union(rows)
     every = F.explode(F.sequence(F.lit(0), F.lit(depths - 1)))
-    return out.withColumn("depth_idx", every.cast("smallint")).select("factor", "depth_idx", F.col("by").cast("int"), F.col("bx").cast("int"))
+    rows = out.withColumn("depth_idx", every)
+    return rows.select("factor", F.col("depth_idx").cast("smallint"), F.col("by").cast("int"), F.col("bx").cast("int"))
 
 
 def plan_counts(regions_df: DataFrame) -> DataFrame:

@@ -123,6 +123,40 @@ def decode(buf: bytes, header: Header | None = None) -> tuple[Header, np.ndarray
     return h, np.frombuffer(raw, kind).astype(np.int16).reshape(h["height"], h["width"])
 
 
+def encode(values: np.ndarray, tie: tuple[float, float], pixel: tuple[float, float], rows_per_strip: int = 9, nodata: int = -32768, crs: str = "", big_endian: bool = False) -> bytes:
+    """A tile of the form that ``decode`` reads."""
+    h, w = values.shape
+    o = ">" if big_endian else "<"
+    raw = values.astype(o + "i2").tobytes()
+    sizes = [2 * w * min(rows_per_strip, h - at) for at in range(0, h, rows_per_strip)]
+    text = lambda s: s.encode() + b"\0"
+    fields: list[tuple[int, int, int, bytes]] = []
+    number = lambda tag, kind, *v: fields.append((tag, kind, len(v), struct.pack(o + KINDS[kind][0] * len(v), *v)))
+    for tag, v in ((256, w), (257, h), (258, 16), (259, 1), (262, 1), (277, 1), (278, rows_per_strip), (284, 1), (339, 2)):
+        number(tag, 4 if v > 65535 else 3, v)
+    number(279, 4, *sizes)
+    number(TAGS["scale"], 12, *pixel, 0.0)
+    number(TAGS["tie"], 12, 0.0, 0.0, 0.0, *tie, 0.0)
+    for tag, s in ((TAGS["crs"], crs), (TAGS["nodata"], str(nodata))):
+        fields.append((tag, 2, len(text(s)), text(s)))
+    number(273, 4, *[0] * len(sizes))
+    fields.sort()
+    at = 8 + 2 + 12 * len(fields) + 4
+    places = {}
+    for tag, _, _, data in fields:
+        if len(data) > 4:
+            places[tag] = at
+            at += len(data) + len(data) % 2
+    starts = [at + sum(sizes[:k]) for k in range(len(sizes))]
+    head, tail = struct.pack(o + "2sHIH", b"MM" if big_endian else b"II", 42, 8, len(fields)), b""
+    for tag, kind, n, data in fields:
+        if tag == 273:
+            data = struct.pack(o + "I" * n, *starts)
+        head += struct.pack(o + "HHI", tag, kind, n) + (struct.pack(o + "I", places[tag]) if len(data) > 4 else data.ljust(4, b"\0"))
+        tail += data + b"\0" * (len(data) % 2) if len(data) > 4 else b""
+    return head + struct.pack(o + "I", 0) + tail + raw
+
+
 _HEADER = (
     "struct<width:int,height:int,rows_per_strip:int,strip_offsets:array<bigint>,strip_byte_counts:array<bigint>,tie_x:double,tie_y:double,"
     "px:double,py:double,nodata:int,crs:string,big_endian:boolean,contiguous:boolean,data_start:bigint,data_end:bigint>"
