@@ -132,7 +132,8 @@ def keep_one_per_group(docs: DataFrame, width: int = 5) -> DataFrame:
     stays, whichever is read first."""
     groups = materialize(near_duplicates(docs, width=width), "groups")
     keep = groups.where("doc_id = component_id").groupBy("doc_id").count()
-    named = docs.join(keep, "doc_id", "left_semi")
+    # always by a shuffle: the ids to keep grow with the input and are never broadcast
+    named = docs.join(keep.hint("merge"), "doc_id", "left_semi")
     if keep.where("count > 1").limit(1).count():
         named = named.dropDuplicates(["doc_id"])
     return named.select(docs.columns).union(docs.where("doc_id is null"))
