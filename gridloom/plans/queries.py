@@ -563,7 +563,7 @@ spans AS (SELECT DISTINCT factor, cell_row * 1800 // factor // 450 AS y0, least(
 regions AS (SELECT DISTINCT factor, b AS "by", c AS bx FROM spans, unnest(range(y0, y1)) AS p(b), unnest(range(x0, x1)) AS q(c))"""
 
 
-@query("a04_regions", f"WITH {REGIONS} SELECT factor::INT AS factor, d::INT AS depth_idx, "by"::INT AS "by", bx::INT AS bx FROM regions, range(2) AS r(d)")
+@query("a04_regions", f"WITH {REGIONS} SELECT factor::INT AS factor, d::INT AS depth_idx, \"by\"::INT AS \"by\", bx::INT AS bx FROM regions, range(2) AS r(d)")
 def a04(spark, sf):
     return regions(cells(spark, sf).select("cell_row", "cell_col").distinct(), depths=2).withColumn("depth_idx", F.col("depth_idx").cast("int"))
 
