@@ -189,27 +189,33 @@ def repeated_keys(parsed: DataFrame) -> DataFrame:
 
 def unique_runs(texts: list[str], covered: set[int], least: int, shortest: int) -> str:
     """The blocks without their covered tokens. ``covered`` holds the suffixes whose first
-    ``least`` tokens are repeated; what remains of a block that lost tokens counts from
-    ``shortest`` tokens in a row on."""
+    ``least`` tokens are repeated. In a block a run of covered tokens goes if it is that long there
+    or is the whole block; what remains of a block that lost tokens counts from ``shortest``
+    tokens in a row on."""
     gone: set[int] = {i for s in covered for i in range(s, s + least)}
     out, at = [], 0
     for t in texts:
         words = t.split(" ")
-        hit = [at + k in gone for k in range(len(words))]
+        runs: list[tuple[bool, list[str]]] = []
+        for k, w in enumerate(words):
+            hit = at + k in gone
+            if not runs or runs[-1][0] != hit:
+                runs.append((hit, []))
+            runs[-1][1].append(w)
         at += len(words)
-        if not any(hit):
-            out.append(t)
+        if len(runs) == 1:
+            out += [t] * (not runs[0][0])
             continue
-        runs, run = [], []
-        for w, h in zip([*words, ""], [*hit, True]):
-            if h:
-                if len(run) >= shortest:
-                    runs.append(" ".join(run))
-                run = []
+        # a repeated run counts in a block only by its tokens there: it may begin in another
+        parts: list[tuple[bool, list[str]]] = []
+        for hit, run in ((h and len(r) >= least, r) for h, r in runs):
+            if parts and parts[-1][0] == hit:
+                parts[-1][1].extend(run)
             else:
-                run.append(w)
-        if runs:
-            out.append(" ".join(runs))
+                parts.append((hit, list(run)))
+        whole = len(parts) == 1
+        if kept := [" ".join(r) for hit, r in parts if not hit and (whole or len(r) >= shortest)]:
+            out.append(" ".join(kept))
     return "\n".join(out)
 
 
