@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -190,6 +191,23 @@ def _spread(doc: np.ndarray) -> np.ndarray:
     return (doc.astype(np.int64).view(np.uint64) * _M1).view(np.int64)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)`` with the texts compressed one by one, for the shuffles that bring
+    texts and their runs together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([squeeze(t) for t in utf8(b.column(1))], pa.binary())], names=["doc_id", "text"])
+
+    return docs.mapInArrow(run, "doc_id long, text binary")
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(t) for t in column.to_pylist()]
+
+
 def merge_ranges(doc: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Adjacent or overlapping runs of windows of a document as one run each."""
     if not len(doc):
@@ -219,7 +237,7 @@ def window_rows(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             runs = b.column(2).to_pylist()
             found: list[np.ndarray] = []
-            for rows, offsets, texts in _groups(utf8(b.column(1)), width):
+            for rows, offsets, texts in _groups(unpacked(b.column(1)), width):
                 buffer = np.frombuffer(b"".join(texts), np.uint8)
                 if len(buffer) < width:
                     continue
@@ -243,7 +261,7 @@ def window_rows(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             doc, start, windows = merge_ranges(doc[again], start[again], np.ones(int(again.sum()), np.int64))
             yield pa.RecordBatch.from_pydict({"hash": _spread(doc), "doc_id": doc, "run": start << RUN | windows})
 
-    return docs.join(lists, "doc_id").select("doc_id", "text", "runs").mapInArrow(run, "hash long, doc_id long, run long")
+    return packed(docs).join(lists, "doc_id").select("doc_id", "text", "runs").mapInArrow(run, "hash long, doc_id long, run long")
 
 
 def repeated_windows(docs: DataFrame, width: int = 100) -> DataFrame:
@@ -287,7 +305,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-            for text, runs in zip(utf8(b.column(1)), b.column(2).to_pylist()):
+            for text, runs in zip(unpacked(b.column(1)), b.column(2).to_pylist()):
                 kept, removed, spans, at = [], 0, 0, 0
                 for x in runs or ():  # sorted: runs that touch or overlap are one span
                     lo = x >> RUN
@@ -311,7 +329,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    done = numbered.join(lists, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(run, schema)
+    done = packed(numbered).join(lists, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(run, schema)
     if ids is None:
         return done
     back = ids.withColumnRenamed("doc_id", "number")
