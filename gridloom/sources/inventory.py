@@ -51,9 +51,9 @@ def parse_mosaic(docs: DataFrame, xml_col: str = "xml") -> tuple[DataFrame, Data
     band = F.col("d.VRTRasterBand")[0]
     sources = F.coalesce(band["ComplexSource"], band["SimpleSource"])
     both = F.when(band["ComplexSource"].isNotNull() & band["SimpleSource"].isNotNull(), F.concat(band["ComplexSource"], band["SimpleSource"])).otherwise(sources)
-    ok = guard(F.col("d.GeoTransform").isNotNull(), F.lit(True), "a mosaic without a transform")
+    ok = guard(F.coalesce(F.size(both) > 0, F.lit(False)), F.lit(True), "a mosaic without sources")
     ok = guard(F.col("d.VRTRasterBand").isNotNull(), ok, "a mosaic without a band")
-    ok = guard(F.coalesce(F.size(both) > 0, F.lit(False)), ok, "a mosaic without sources")
+    ok = guard(F.col("d.GeoTransform").isNotNull(), ok, "a mosaic without a transform")
     numbers = F.transform(F.split(F.col("d.GeoTransform"), ","), lambda v: F.trim(v).cast("double"))
     pairs = F.flatten(F.transform(F.col("d.Metadata"), lambda m: F.coalesce(m["MDI"], F.array().cast("array<struct<_key:string,_VALUE:string>>"))))
     headers = parsed.where(ok).select(
