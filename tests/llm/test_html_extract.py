@@ -46,7 +46,7 @@ def test_shared_keys_are_common_prefixes():
 def test_host_boilerplate(spark):
     menu = "home news sport weather shop about contact help imprint privacy"
     page = lambda t: f"<body><div>{menu}</div><div>{t}</div><div>all rights reserved by the owners of this very site forever</div>"
-    own = [f"story number {i} tells of {'many ' * i}different things that happened on day {i} of the year" for i in range(4)]
+    own = [f"story number {i} tells " + " ".join(f"thing{i}x{k}" for k in range(9 + i)) + " of the year" for i in range(4)]
     rows = [(i, f"http://h.org/{i}", page(t), "clash", 1) for i, t in enumerate(own)]
     rows += [(10, "http://other.org/", page("lonely page with its own text here"), None, None), (11, None, None, None, None), (12, "http://h.org/x", "", None, None)]
     rows += [(13, "http://copy.org/1", page("the same story on two pages of a host"), None, None), (14, "http://copy.org/2", page("the same story on two pages of a host"), None, None), (None, "u", "<p>x", None, None)]
