@@ -33,7 +33,7 @@ def pyramid(pixels: DataFrame, factors: tuple[int, ...] = FACTORS, grid: GridSpe
     keys: tuple[str, ...] = ("property", "depth_idx")
     if quads >= spark.sparkContext.defaultParallelism:
         keys = ("property", "depth_idx", "qy", "qx")
-        pixels = pixels.withColumn("qy", div(F.col("y"), top)).withColumn("qx", div(F.col("x"), top)).repartition("property", "depth_idx", "qy", "qx")
+        pixels = pixels.withColumn("qy", div(F.col("y"), top)).withColumn("qx", div(F.col("x"), top)).repartition("qy", "qx")
     out, before = {}, 1
     for f in factors:
         pixels = reduce_level(pixels, f // before, *shapes[f], keys)
