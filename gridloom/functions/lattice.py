@@ -83,6 +83,13 @@ def source_window(tie_x: Column, tie_y: Column, px: Column, py: Column, width: C
     return guard(fits, window, "the source window isn't inside the grid")
 
 
+def mosaic_offset(geotransform: Column, grid: GridSpec = GRID) -> tuple[Column, Column]:
+    """Where a mosaic's corner lies on the grid, from its six numbers; other pixels are refused."""
+    ok = (geotransform[1] == grid.pixel) & (geotransform[5] == -grid.pixel)
+    x, y = xy_to_pixel(geotransform[0], geotransform[3], grid)
+    return guard(ok, x, "a mosaic of other pixels"), guard(ok, y, "a mosaic of other pixels")
+
+
 def div(a: Column, b: Column | int) -> Column:
     """Whole-number division of non-negative numbers."""
     return F.floor(a / (F.lit(b) if isinstance(b, int) else b)).cast("long")

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from gridloom import spec
 from gridloom.functions import metadata
-from gridloom.functions.lattice import div
-from gridloom.operators import checks, ledger, place
+from gridloom.functions.lattice import TILE_NAME, div, mosaic_offset
+from gridloom.operators import checks, inventory, ledger, place
 from gridloom.operators.pyramid import plan_counts, pyramid, regions
 from gridloom.plans.store import LEDGER_CELLS, EncodingMismatch, Session, SnapshotStore, StoreError
+from gridloom.sources.inventory import parse_mosaic
 from gridloom.spec import EncodingSpec, GridSpec, PropertySpec
 
 Checkpoint = Callable[[Session], None]
@@ -63,6 +64,59 @@ def init_store(store: SnapshotStore, properties: list[PropertySpec], grid: GridS
     return created
 
 
+def inspect_source(
+    mosaics: DataFrame,
+    listing: DataFrame,
+    disk_headers: DataFrame,
+    properties: list[PropertySpec],
+    grid: GridSpec,
+    base_url: str,
+) -> tuple[DataFrame, DataFrame, dict[str, object]]:
+    """From inventories to a manifest: ``(manifest, issues, report)``.
+
+    ``mosaics`` has property, depth and xml; ``listing`` has property, depth, relpath and size of
+    what lies on the disk; ``disk_headers`` adds header and error for tiles to repair. Headers
+    are verified against the specification, windows are de-duplicated, both sides of the
+    listing are compared, and tiles that only the disk has are recovered where they fit. The
+    manifest and the issues are lazy; the report counts them.
+    """
+    headers, sources = parse_mosaic(mosaics)
+    rows = issues = None
+    for p in properties:
+        own = headers.where(F.col("property") == p.name)
+        at = own.select("property", "depth", *(c.alias(n) for c, n in zip(mosaic_offset(F.col("geotransform"), grid), ("ox", "oy"))))
+        placed = sources.where(F.col("property") == p.name).join(F.broadcast(at), ["property", "depth"])
+        url = F.concat(F.lit(f"{base_url.rstrip('/')}/{p.name}/{p.name}_"), F.regexp_replace("depth", "_", "-"), F.lit("cm_mean"))
+        built = inventory.build_manifest(placed, (F.col("ox"), F.col("oy")), p.tile_px, url, grid)
+        found = inventory.layer_issues(own, p)
+        rows = built if rows is None else rows.unionByName(built)
+        issues = found if issues is None else issues.unionByName(found)
+    kept, conflicts = inventory.dedupe_windows(rows)
+    keys = ["property", "depth", "relpath"]
+    # a tile that lost its window is still in the inventory
+    disk_only, vrt_only, _ = inventory.cross_check(rows, listing, keys)
+    sized = inventory.cross_check(kept, listing, keys)[2]
+    claims = disk_only.join(disk_headers, keys, "left")
+    repaired = inventory.repair(claims.withColumn("error", F.when(F.col("header").isNull(), F.coalesce("error", F.lit("unread"))).otherwise(F.col("error"))), kept, grid)
+    name = F.regexp_extract("relpath", "([^/]+)$", 1)
+    part = lambda i: F.regexp_extract(name, TILE_NAME, i).cast("int")
+    filled = {
+        "cell": F.regexp_extract("relpath", "^([^/]+)/", 1), "subtile": F.format_string("%d-%d", part(3), part(4)), "url": F.col("relpath"), "width": F.col("header.width"),
+        "height": F.col("header.height"), "cell_row": div(F.col("y_off"), grid.cell_px).cast("smallint"), "cell_col": div(F.col("x_off"), grid.cell_px).cast("smallint"),
+        "is_full": F.col("header.width") == F.col("header.height"), "rows_per_strip": F.col("header.rows_per_strip"), "resampled_in_vrt": F.lit(False),
+        "etag": F.lit(None).cast("string"), "modified": F.lit(None).cast("string"), "ordinal": F.lit(None).cast("bigint"),
+    }
+    recovered = repaired.where("class = 'recovered'").select(*[filled.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in spec.MANIFEST])
+    manifest = sized.select(*[F.col(f.name).cast(f.dataType) for f in spec.MANIFEST]).unionByName(recovered)
+    count = lambda df: df.count()
+    report = {
+        "layers": count(headers), "tiles": count(kept), "conflicts": count(conflicts), "misplaced": count(kept.where("misplaced")), "issues": count(issues),
+        "inventory_only": count(vrt_only), "disk_only": {r["class"]: r["n"] for r in repaired.groupBy("class").agg(F.count("*").alias("n")).collect()},
+        "anomalies": count(inventory.source_anomalies(sources)),
+    }
+    return manifest, issues, report
+
+
 def materialize(
     store: SnapshotStore,
     prop: PropertySpec,

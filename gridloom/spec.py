@@ -123,6 +123,9 @@ class PropertySpec:
     def layer_dir(self, depth: DepthInterval, statistic: str = "mean") -> str:
         return f"{self.name}_{depth.token}_{statistic}"
 
+    def layer_url(self, base: str, depth: DepthInterval, statistic: str = "mean") -> str:
+        return f"{base.rstrip('/')}/{self.name}/{self.layer_dir(depth, statistic)}"
+
     def depth_index(self, label: str) -> int:
         """The index of a depth label; an unknown depth is an error, never null."""
         for i, d in enumerate(self.depths):
