@@ -7,8 +7,7 @@ import time
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.shared import shared_dir
 
@@ -36,15 +35,14 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver's cleaner drop the shuffle files of jobs that are over: it does so once
-    both Python's and the JVM's handles on their plans are collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def crc32_of_id(col: Column | str) -> Column:
-    return F.crc32(F.col(col).cast("string").cast("binary")) if isinstance(col, str) else F.crc32(col.cast("string").cast("binary"))
+def release(spark: SparkSession, rounds: int = 3) -> None:
+    """Let the driver's cleaner drop the shuffle files of jobs that are over. It does so once
+    both Python's and the JVM's handles on their plans are collected; the JVM's only follow in
+    the round after Python's have been given back."""
+    for _ in range(rounds):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def utf8(column: pa.Array) -> list[bytes | None]:
