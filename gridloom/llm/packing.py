@@ -62,12 +62,13 @@ class ChunkEncoder:
 
     def _plain(self, text: str) -> str:
         """The text in a form with the same ids and fewer different chunks: lower case, where
-        the tokenizer lower-cases, and stops and commas apart from words, where it parts them."""
+        the tokenizer lower-cases, and stops and commas apart from the word before, where it
+        parts them."""
         text = text.replace("\n", " ")
         if self.lowers and (text.isascii() or ("Σ" not in text and unicodedata.is_normalized("NFC", text))):
             text = text.lower()
         if self.parts_marks and not MARKS.search(text):
-            text = text.replace(".", " . ").replace(",", " , ")
+            text = text.replace(".", " .").replace(",", " ,")
         return text
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
