@@ -122,6 +122,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     release(spark)
     reach = connected_components(links)
     named = nodes.join(reach, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    # a table of its own, so that the last join has a shuffle on either side: then the rows of
+    # a fingerprint that very many texts share are split over tasks
+    named = materialize(named, "components")
     out = fps.join(named, "fp", "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
