@@ -18,10 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, and a lost
-    executor costs no recomputation of what lies before."""
+    executor costs no recomputation of what lies before. The files go when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
