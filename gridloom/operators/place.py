@@ -32,11 +32,17 @@ def depth_index(rows: DataFrame, spec: PropertySpec, label: str = "depth") -> Da
     return rows.withColumn("depth_idx", guard(index.isNotNull(), index, F.concat(F.lit("unknown depth "), F.col(label))).cast("smallint"))
 
 
+def tile_keys(tiles: DataFrame) -> list[str]:
+    """What names a tile: its path, and property and depth where the scan tells them, since
+    layers repeat each other's paths."""
+    return [c for c in ("property", "depth", "relpath") if c in tiles.columns]
+
+
 def check_tiles(tiles: DataFrame, manifest: DataFrame, grid: GridSpec = GRID) -> DataFrame:
     """The manifest's tiles with their decoded headers and values, after five refusals: nodata,
     pixel size, shape, tie-point, and fit into the grid. A failed read isn't refused: it stays
-    a row without values. ``tiles`` has relpath, header, values, error."""
-    rows = manifest.join(tiles, "relpath")
+    a row without values. ``tiles`` has header, values, error and the columns of ``tile_keys``."""
+    rows = manifest.join(tiles, tile_keys(tiles))
     h = F.col("header")
     window = source_window(h["tie_x"], h["tie_y"], h["px"], h["py"], h["width"], h["height"], grid)
     refusals = (

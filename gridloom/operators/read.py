@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,11 @@ def window(pixels: DataFrame, x0: float, x1: float, y0: float, y1: float, factor
     size = grid.pixel * factor
     lo_x, hi_x = (x0 - grid.x_min) / size - 0.5, (x1 - grid.x_min) / size - 0.5
     lo_y, hi_y = (grid.y_max - y1) / size - 0.5, (grid.y_max - y0) / size - 0.5
-    at = pixels.where((F.col("factor") == factor) & F.col("x").between(lo_x, hi_x) & F.col("y").between(lo_y, hi_y))
+    # whole bounds, so that the filters reach the scan
+    first, last = (lambda v: math.ceil(v - 1e-9)), (lambda v: math.floor(v + 1e-9))
+    at = pixels.where(
+        (F.col("factor") == factor) & F.col("x").between(first(lo_x), last(hi_x)) & F.col("y").between(first(lo_y), last(hi_y))
+    )
     return at.withColumn("cx", pixel_centre_x(F.col("x"), factor, grid)).withColumn("cy", pixel_centre_y(F.col("y"), factor, grid))
 
 

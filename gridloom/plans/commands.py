@@ -129,7 +129,7 @@ def materialize(
     overwrite: bool = False,
     checkpoint: Checkpoint | None = None,
 ) -> dict[str, int]:
-    """Write a property's cells from decoded tiles ``(relpath, header, values, error)``, in
+    """Write a property's cells from decoded tiles (paths, header, values, error), in
     batches of ``commit_every`` cells, each one plan and one commit. Cells in the ledger are
     left alone unless ``overwrite``; a batch is one file set under its own key, so a killed run
     loses at most a batch and a resumed one repeats nothing."""
@@ -151,7 +151,7 @@ def materialize(
         rows = rows.drop("cell_row", "cell_col").distinct()
         fine_rows, coarse_rows = rows.where("not resampled_in_vrt"), rows.where("resampled_in_vrt")
         fine = place.overwrite(place.place(place.check_tiles(tiles, fine_rows, grid), prop.divisor))
-        coarse = place.resolve_coarse(coarse_rows.join(tiles, "relpath"), grid)
+        coarse = place.resolve_coarse(coarse_rows.join(tiles, place.tile_keys(tiles)), grid)
         coarse = coarse.withColumn("value", place.decode(F.col("raw"), prop.divisor))
         filled = place.gap_fill(place.expand_coarse(coarse, grid), place.covered_pixels(fine_rows))
         pixels = place.assemble(fine, filled)
@@ -165,7 +165,7 @@ def materialize(
         session.record("cells", [(prop.name, r, c) for r, c in batch])
         counts = place.fill_counts(filled).collect()
         session.record("fills", [(prop.name, r["source"], prop.depths[r["depth_idx"]].label, *batch[0], r["pixels_filled"]) for r in counts])
-        stats["anomalies"] += place.anomalies(rows.join(tiles, "relpath")).count()
+        stats["anomalies"] += place.anomalies(rows.join(tiles, place.tile_keys(tiles))).count()
         stats["filled"] += sum(r["pixels_filled"] for r in counts)
         stats["cells"] += len(batch)
         if checkpoint:

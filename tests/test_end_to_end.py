@@ -45,6 +45,7 @@ def build(spark, folder, ocean=((0, 1),)):
         ordinal += 1
     manifest = spark.createDataFrame(rows, spec.MANIFEST)
     tiles = tiff.decode_tiles(tiff.scan_files(spark, str(folder))).withColumn("relpath", F.regexp_extract("path", "([^/]+/[^/]+)$", 1)).drop("path", "modificationTime", "length")
+    tiles = tiles.withColumn("depth", F.regexp_extract("relpath", "^([^/]+)", 1))
     return manifest, tiles
 
 

@@ -175,3 +175,14 @@ def test_reads(spark):
     assert read.window(df, GRID.x_min + 4.5 * 250, GRID.x_min + 4.5 * 250, GRID.y_max - 3.5 * 250, GRID.y_max - 3.5 * 250).count() == 2
     points = spark.createDataFrame([(1, 10.0, 0.0)], "point_id int, lon double, lat double")
     assert read.lonlat_profiles(points, df, depths).count() == 6
+
+
+def test_filters_reach_the_scan(spark, tmp_path):
+    df = spark.createDataFrame([("p", 1, 0, 3, 4, 1.5)], "property string, factor int, depth_idx smallint, y int, x int, value float")
+    df.write.parquet(str(tmp_path / "px"))
+    stored = spark.read.parquet(str(tmp_path / "px"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = read.window(stored, GRID.x_min, GRID.x_min + 2500, GRID.y_max - 2500, GRID.y_max).select("value")._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].split("]")[0]
+    assert "GreaterThanOrEqual(x,0)" in pushed and "LessThanOrEqual(y,9)" in pushed and "EqualTo(factor,1)" in pushed
+    assert "property" not in plan[plan.index("ReadSchema") :].split(">")[0]
