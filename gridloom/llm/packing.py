@@ -18,8 +18,8 @@ from pyspark.sql.window import Window
 
 from gridloom.llm.common import materialize
 
-#: Chunks between white space that a worker remembers; about 200 bytes each.
-CACHE = 600_000
+#: Chunks between white space that a worker remembers; about 160 bytes each.
+CACHE = 1_200_000
 SEPARATOR = "|"
 #: A full stop or comma beside another mark; such marks may form one pre-token.
 MARKS = re.compile(r"[.,](?:[^\w \n]|_)|(?:[^\w \n]|_)[.,]")
