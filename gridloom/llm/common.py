@@ -51,3 +51,9 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return column.cast(kind).to_pylist()
+
+
+def give_back() -> None:
+    """At the end of a task: return what Arrow's pool holds unused, since the Python worker
+    stays and shares its executor's memory with later stages."""
+    pa.default_memory_pool().release_unused()

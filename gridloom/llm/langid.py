@@ -10,14 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import utf8
+from gridloom.llm.common import give_back, utf8
 
 #: Symbols of the context trees: the commonest bytes and one class for all others, which
 #: costs eight bits more to tell apart.
 SYMBOLS = 64
 OTHER = SYMBOLS - 1
 PAD = b"\n\n\n"
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -102,7 +102,7 @@ def count_grams(labelled: DataFrame, most_held: int = 1 << 20) -> DataFrame:
             for text, lang in zip(utf8(b.column(0)), b.column(1).to_pylist()):
                 by.setdefault(lang, []).append(text)
             for lang, texts in by.items():
-                for _, some, before in _pieces(texts, 4 * CHUNK):
+                for _, some, before in _pieces(texts, 16 * CHUNK):
                     buffer, start, size = _joined(some, before)
                     inside = np.ones(len(buffer), bool)
                     inside[(start[:, None] - [1, 2, 3]).ravel()] = False
@@ -112,6 +112,7 @@ def count_grams(labelled: DataFrame, most_held: int = 1 << 20) -> DataFrame:
             if sum(len(c) for x in held.values() for c, _ in x) > 4 * most_held:
                 yield from flush(most_held)
         yield from flush(-1)
+        give_back()
 
     counted = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     counted = counted.where("text is not null and lang is not null").mapInArrow(run, "lang string, code long, n long")
@@ -229,6 +230,8 @@ def identify(docs: DataFrame, model: PpmModel, text_col: str = "text") -> DataFr
                 scores.append(1.0 / total if known else 0.0)
             rest = b.select(range(b.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*rest.schema.names, "lang_pred", "score"])
+        cache.clear()
+        give_back()
 
     base = docs.drop("lang_pred", "score")
     scored = F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col)).cast("string")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridloom.llm.common import materialize, release, utf8
+from gridloom.llm.common import give_back, materialize, release, utf8
 from gridloom.llm.components import connected_components
 
 BITS = 64
@@ -46,6 +46,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for b in batches:
             fps = np.array([fingerprint(t, width) for t in utf8(b.column(1))], dtype=np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["doc_id", "fp"])
+        give_back()
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, "doc_id long, fp long")
