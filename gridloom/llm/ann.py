@@ -24,13 +24,15 @@ MOST_FUNCTIONS = 8
 @dataclass(frozen=True)
 class Index:
     """Frozen parameters: ``tables`` sets of ``functions`` projections with offsets, the norm
-    that vectors are scaled by, and the cosine that a wanted neighbour is expected to have.
+    that vectors are scaled by, and a sample of scaled vectors with the place in it whose
+    product is taken for the cosine of a query's last wanted neighbour.
     At most ``VALUES ** MOST_FUNCTIONS`` cells a table, whatever the number of vectors."""
 
     planes: np.ndarray  # table, function, dim + 1
     offsets: np.ndarray  # table, function
     norm: float
-    cosine: float
+    sample: np.ndarray  # vector, dim
+    place: int
     dim: int
 
     def cells(self, x: np.ndarray, table: int) -> np.ndarray:
@@ -44,12 +46,19 @@ class Index:
         value = np.clip(np.floor(at / WIDTH), -VALUES // 2, VALUES // 2 - 1).astype(np.int64) + VALUES // 2
         return value @ (VALUES ** np.arange(value.shape[1]))
 
-    def success(self, q: np.ndarray, table: int) -> np.ndarray:
-        """For each query, the probability that a neighbour at the expected cosine lies in
+    def cosines(self, q: np.ndarray) -> np.ndarray:
+        """The cosine expected of each query's last wanted neighbour, from its own products
+        with the sample: other queries' neighbours, however near, don't count."""
+        unit = q / np.linalg.norm(q, axis=1, keepdims=True)
+        products = np.sort(unit @ self.sample.T, axis=1)
+        return np.clip(products[:, -min(self.place, products.shape[1])], 0.05, 0.98)
+
+    def success(self, q: np.ndarray, cosine: np.ndarray, table: int) -> np.ndarray:
+        """For each query, the probability that a neighbour at its expected cosine lies in
         each cell: products of normal masses around the query's shrunken projection."""
         unit = np.c_[q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros(len(q))]
-        mean = self.cosine * (unit @ self.planes[table].T)
-        sd = math.sqrt(max(1e-4, 1.0 - self.cosine**2))
+        mean = cosine[:, None] * (unit @ self.planes[table].T)
+        sd = np.sqrt(np.maximum(1e-4, 1.0 - cosine**2))[:, None, None]
         edges = (np.arange(1, VALUES) - VALUES // 2) * WIDTH - self.offsets[table][:, None]
         z = (edges[None] - mean[:, :, None]) / (sd * math.sqrt(2))
         below = 0.5 * (1 + np.vectorize(math.erf, otypes=[float])(z))
@@ -87,9 +96,11 @@ def distinct_vectors(vectors: DataFrame, most: int, id_col: str = "vec_id", vec_
 
 def fit(distinct: DataFrame, neighbours: int, tables: int, seed: int = 42, sample: int = 4000) -> Index | None:
     """Parameters from all vectors' number, size and norm, and from a bounded sample of
-    ``sample`` vectors (those of smallest hash) for the expected cosine: the pairs' quantile
-    that leaves ``neighbours`` of all vectors above it. The common length is the most frequent
-    one, ties to the longer; other lengths take no part."""
+    ``sample`` vectors (those of smallest hash) for the expected cosines. In the sample a
+    query's ``neighbours`` best of all vectors are few and by chance more or fewer; its place
+    there lies two deviations and the query itself behind their mean number, so that a handful
+    of very near vectors isn't taken for all. The common length is the most frequent one, ties
+    to the longer; other lengths take no part."""
     sizes = (
         distinct.select(F.length("key").alias("bytes"), "key")
         .groupBy("bytes")
@@ -105,16 +116,13 @@ def fit(distinct: DataFrame, neighbours: int, tables: int, seed: int = 42, sampl
     picked = same.orderBy(F.xxhash64("key"), "key").limit(sample).select("key").collect()
     x = np.stack([np.frombuffer(r["key"], "<f8") for r in picked])
     norm = largest_norm(same)
-    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    pairs = np.sort((unit[: max(1, len(x) // 8)] @ (x / norm).T).ravel())
-    pairs = pairs[: max(1, len(pairs) - max(1, len(x) // 8))]  # without each query itself
-    share = min(1.0, neighbours / max(1, n))
-    cosine = float(np.clip(pairs[int((1 - share) * (len(pairs) - 1))], 0.05, 0.98))
+    mean = neighbours * len(x) / max(1, n)
+    place = math.ceil(mean + 2 * math.sqrt(mean * max(0.0, 1 - len(x) / n))) + 1
     functions = int(np.clip(round(math.log(max(n, 1) / 64, VALUES)) if n > 64 else 1, 1, MOST_FUNCTIONS))
     rng = np.random.default_rng(seed)
     planes = rng.standard_normal((tables, functions, size // 8 + 1))
     planes *= math.sqrt(size // 8) / np.linalg.norm(planes[:, :, :-1], axis=2, keepdims=True)
-    return Index(planes, rng.uniform(0, WIDTH, (tables, functions)), norm, cosine, size // 8)
+    return Index(planes, rng.uniform(0, WIDTH, (tables, functions)), norm, x / norm, place, size // 8)
 
 
 def largest_norm(distinct: DataFrame) -> float:
@@ -226,8 +234,9 @@ def nearest(
                 part = good[lo : lo + 64]
                 q = np.stack([x for _, x in part])
                 out: dict[str, list] = {"block": [], "query": [], "key": [], "cells": []}
+                cosine = sent.value.cosines(q)
                 for t in range(tables):
-                    chance = sent.value.success(q, t)
+                    chance = sent.value.success(q, cosine, t)
                     sizes = np.zeros(chance.shape[1])
                     sizes[list(held[t])] = list(held[t].values())
                     order = np.argsort(-chance, axis=1, kind="stable")

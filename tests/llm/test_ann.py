@@ -1,4 +1,6 @@
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm.ann import nearest
@@ -43,6 +45,27 @@ def test_recall(spark):
     assert hit / (40 * 20) >= 0.9
 
 
+@pytest.mark.parametrize("share", [0.02, 1 / 3])
+def test_recall_beside_a_tight_cluster(spark, share):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((10_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tight = int(share * len(x))
+    x[:tight] = x[0] + 0.1 * x[:tight]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    order = rng.permutation(len(x))
+    inside, x = order < tight, x[order]
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(4)
+    asked = [*np.flatnonzero(inside)[:30].tolist(), *np.flatnonzero(~inside)[:60].tolist()]
+    hit = dict.fromkeys(asked, 0)
+    for r in nearest(vectors, vectors.where(F.col("vec_id").isin(asked)), k=20).collect():
+        s = x @ x[r["query_id"]]
+        s[r["query_id"]] = -np.inf
+        hit[r["query_id"]] += r["vec_id"] in np.argsort(-s)[:20]
+    assert sum(hit[i] for i in asked[:30]) / (30 * 20) >= 0.9
+    assert sum(hit[i] for i in asked[30:]) / (60 * 20) >= 0.9
+
+
 def test_few_vectors(spark):
     assert nearest(spark.createDataFrame([], SCHEMA), spark.createDataFrame([], SCHEMA)).collect() == []
     two = spark.createDataFrame([(1, [1.0, 0.0], None, None), (2, [0.5, 0.5], None, None)], SCHEMA)
