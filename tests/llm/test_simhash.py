@@ -73,3 +73,12 @@ def test_documents(spark):
     assert kept.columns == SCHEMA.names
     assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect())[0] == 1
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_components_of_a_long_chain(spark):
+    from gridloom.llm.components import connected_components
+
+    chain = random.Random(5).sample(range(1000), 400)
+    edges = spark.createDataFrame(list(zip(chain, chain[1:])), "a long, b long")
+    found = {r["node"]: r["component"] for r in connected_components(edges).collect()}
+    assert found == dict.fromkeys(chain, min(chain))
