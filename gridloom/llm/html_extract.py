@@ -20,7 +20,7 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
-SKIPPED = frozenset("head nav footer aside form menu button select option dialog audio video".split())
+SKIPPED = frozenset("head nav footer aside menu button select option dialog audio video".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that an element of the same sort ends where its end tag is missing.
 CLOSED_BY = {
@@ -32,6 +32,10 @@ NAMES = frozenset(
     "login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted recommended related replies reply "
     "respond search share sharing sidebar signup site-header skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Parts of names that say what an element has or lacks, not what it is.
+ABOUT = frozenset("has have with no not non without hide hides".split())
+#: Elements that are the page or its article, whatever parts their names have.
+WHOLE = frozenset("html body main".split())
 ROLES = frozenset("banner navigation contentinfo complementary search form alert dialog menu menubar".split())
 
 MARKUP = re.compile(
@@ -44,20 +48,30 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\
 HOST = re.compile(r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#\s]+)")
 
 
+def _named(tag: str, value: str) -> bool:
+    """Whether a class or id says that its element isn't the article. An article only is by a
+    whole name (``comment``), not by a part of one (``post-with-comments``)."""
+    for name in value.split():
+        parts = set(re.split(r"[-_]+", name))
+        if name in NAMES or (tag != "article" and parts & NAMES and not parts & ABOUT):
+            return tag not in WHOLE
+    return False
+
+
 def _zone(tag: str, attrs: str, in_main: bool) -> str:
-    """What an element opens: ``skip``, ``main``, ``head`` (of an article), or nothing new."""
+    """What an element opens: ``skip``, ``name`` (skipped for its name or as a form, unless it
+    is most of the page), ``main``, ``head`` (of an article), or nothing new."""
     if tag in SKIPPED:
         return "skip"
     if tag == "header":
         return "head" if in_main else "skip"
     role = ""
+    named = tag == "form"
     if attrs.strip(" /"):
         for name, *values in ATTRIBUTE.findall(attrs):
             name, value = name.lower(), "".join(values).lower()
             if name in ("class", "id"):
-                names = value.split()
-                if any(n in NAMES or not NAMES.isdisjoint(re.split(r"[-_]+", n)) for n in names):
-                    return "skip"
+                named = named or _named(tag, value)
             elif name == "role":
                 role = value
                 if value in ROLES:
@@ -68,16 +82,24 @@ def _zone(tag: str, attrs: str, in_main: bool) -> str:
                 return "skip"
             elif name == "itemprop" and value == "articlebody":
                 role = "main"
+    if named:
+        return "name"
     return "main" if tag in ("article", "main") or role == "main" else ""
 
 
 def blocks(page: str) -> list[tuple[str, str]]:
     """The page's blocks as (zone, text): ``main`` inside of a declared article, ``skip`` in
     anything that declares itself not to be one, ``open`` elsewhere. References are decoded and
-    white space is one space; empty blocks are left out."""
-    out: list[tuple[str, str]] = []
+    white space is one space; empty blocks are left out.
+
+    An element that only its name or its being a form speaks against is skipped unless it holds
+    more than half of the page's words, and declared articles outside of it less than a tenth
+    of its own."""
+    out: list[tuple[str, str, tuple[int, ...]]] = []  # with the named elements around
     stack: list[tuple[str, str]] = []  # tag, zone it opened
-    zones = {"skip": 0, "main": 0, "head": 0, "heading": 0}
+    zones = {"skip": 0, "name": 0, "main": 0, "head": 0, "heading": 0}
+    named: list[int] = []  # open elements with a name against them, by number
+    numbers = 0
     text: list[str] = []
 
     def flush() -> None:
@@ -86,12 +108,14 @@ def blocks(page: str) -> list[tuple[str, str]]:
             text.clear()
             if words:
                 skipped = zones["skip"] or (zones["head"] and not zones["heading"])
-                out.append(("skip" if skipped else "main" if zones["main"] else "open", " ".join(words)))
+                out.append(("skip" if skipped else "main" if zones["main"] else "open", " ".join(words), tuple(named)))
 
     def pop_to(depth: int) -> None:
         for _, zone in stack[depth:]:
             if zone:
                 zones[zone] -= 1
+            if zone == "name":
+                named.pop()
         del stack[depth:]
 
     at, size = 0, len(page)
@@ -134,9 +158,21 @@ def blocks(page: str) -> list[tuple[str, str]]:
             zone = "heading"
         if zone:
             zones[zone] += 1
+        if zone == "name":
+            numbers += 1
+            named.append(numbers)
         stack.append((tag, zone))
     flush()
-    return out
+    if not numbers:
+        return [(z, t) for z, t, _ in out]
+    sizes = [(z, t.count(" ") + 1, set(inside)) for z, t, inside in out if z != "skip"]
+    total = sum(n for _, n, _ in sizes)
+    held: dict[int, int] = {}
+    for _, n, inside in sizes:
+        for k in inside:
+            held[k] = held.get(k, 0) + n
+    most = {k for k, n in held.items() if 2 * n > total and 10 * sum(m for z, m, inside in sizes if z == "main" and not inside) < n}
+    return [(z if most.issuperset(inside) else "skip", t) for z, t, inside in out]
 
 
 def host_of(url: str | None) -> str:

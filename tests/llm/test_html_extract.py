@@ -32,6 +32,24 @@ def test_blocks(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<body class='no-sidebar'><p>the text", "the text"),
+        ("<html class='login'><body id=search><main class='content has-sidebar'><p>the text</main>", "the text"),
+        ("<article class='post has-comments'>the text</article>", "the text"),
+        ("<article class='post-comments-open'>the text</article>", "the text"),
+        ("<div class='with-sidebar'><p>the text</div><p>and more of it here", "the text\nand more of it here"),
+        ("<p>about<div class='social-policy'><h1>policy</h1><p>a long text of it</div>", "about\npolicy\na long text of it"),
+        ("<body><form><p>a plain page<div class=ad>buy</div></form>", "a plain page"),
+        ("<main><p>a b c d<div class='comments-area'>one two three four five six</div></main>", "a b c d"),
+        ("<p>a sentence with <a class='social-link'>a link</a> in it", "a sentence with a link in it"),
+    ],
+)
+def test_names_do_not_hide_the_page(page, want):
+    assert main_text(page) == want
+
+
 def test_hosts():
     assert [host_of(u) for u in ("https://A.b.c:80/x", "//h/p", "http://u:p@h.org?q", None, "nonsense")] == ["a.b.c", "h", "h.org", "", ""]
 
