@@ -15,7 +15,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round takes the least label among neighbours, for a node and for the node that is its
     label (root hooking), and then follows the new label's own new label (pointer jumping).
     Labels only fall, and where none does every edge has one label, so rounds go on until then:
-    12 on a path of 10 000 nodes in random order. Labels are written to the shared folder in
+    12 in a replay on a path of 10 000 nodes in random order. Labels are written to the shared folder in
     each round; nothing but whether any moved reaches the driver. Nulls, loops and repeated
     edges are ignored.
     """
