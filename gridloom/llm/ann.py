@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -24,8 +25,8 @@ MOST_FUNCTIONS = 8
 @dataclass(frozen=True)
 class Index:
     """Frozen parameters: ``tables`` sets of ``functions`` projections with offsets, the norm
-    that vectors are scaled by, and a sample of scaled vectors with the place in it whose
-    product is taken for the cosine of a query's last wanted neighbour.
+    that vectors are scaled by, and a sample of scaled vectors with their cells and the place in
+    it whose product is taken for the cosine of a query's last wanted neighbour.
     At most ``VALUES ** MOST_FUNCTIONS`` cells a table, whatever the number of vectors."""
 
     planes: np.ndarray  # table, function, dim + 1
@@ -35,6 +36,10 @@ class Index:
     place: int
     dim: int
 
+    @cached_property
+    def sample_cells(self) -> np.ndarray:
+        return np.stack([self.cells(self.sample * self.norm, t) for t in range(len(self.planes))])
+
     def cells(self, x: np.ndarray, table: int) -> np.ndarray:
         """The cell of each vector: floor((a.x + b) / w) of every function, in base VALUES.
 
@@ -118,7 +123,7 @@ def fit(distinct: DataFrame, neighbours: int, tables: int, seed: int = 42, sampl
     norm = largest_norm(same)
     mean = neighbours * len(x) / max(1, n)
     place = math.ceil(mean + 2 * math.sqrt(mean * max(0.0, 1 - len(x) / n))) + 1
-    functions = int(np.clip(round(math.log(max(n, 1) / 64, VALUES)) if n > 64 else 1, 1, MOST_FUNCTIONS))
+    functions = int(np.clip(round(math.log(max(n, 1) / 16, VALUES)) if n > 64 else 1, 1, MOST_FUNCTIONS))
     rng = np.random.default_rng(seed)
     planes = rng.standard_normal((tables, functions, size // 8 + 1))
     planes *= math.sqrt(size // 8) / np.linalg.norm(planes[:, :, :-1], axis=2, keepdims=True)
@@ -152,7 +157,7 @@ def nearest(
     queries: DataFrame,
     k: int = 20,
     tables: int = 2,
-    success: float = 0.85,
+    success: float = 0.72,
     least: int = 400,
     block: int | None = None,
     id_col: str = "vec_id",
@@ -162,9 +167,11 @@ def nearest(
     ``vectors`` but the query's own id: ``(query_id, rank, vec_id, score)``.
 
     Every table hashes a vector to one cell. A query visits cells in the order of their
-    estimated success until these add up to ``success`` and hold ``least`` vectors; a cell's
-    vectors are scored exactly, in double precision, and the tables' candidates merge. The
-    index holds every usable vector; equal vectors are scored once and listed by their smallest
+    estimated success until these add up to ``success`` (of one table; two that miss 0.28 each
+    miss 0.08 together) and hold ``least`` vectors; a cell's vectors are scored exactly, in
+    double precision, and the tables' candidates merge. The sampled vectors in its cells give a
+    query a floor: ``k + 1`` of its candidates score that much, so what scores less is left at
+    once. The index holds every usable vector; equal vectors are scored once and listed by their smallest
     ids, ties going to the smaller id. Vectors that are null, empty, zero, or hold null or
     non-finite components, or are not of the most common length, take no part on either side.
 
@@ -216,45 +223,60 @@ def nearest(
             first[t, cell] = (used, 1)
             filled += n
         used += 1
-    plan = spark.sparkContext.broadcast((first, counts))
+    number = VALUES ** index.planes.shape[1]
+    at_block, parts_of, held_in = (np.zeros((tables, number), np.int64) for _ in range(3))
+    for (t, cell), (g, parts) in first.items():
+        at_block[t, cell], parts_of[t, cell], held_in[t, cell] = g, parts, counts[t][cell]
+    plan = spark.sparkContext.broadcast((at_block, parts_of, held_in))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, _ = plan.value
+        at, parts, _ = plan.value
         for b in batches:
-            where = [at[x] for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            group = [g + i % p for (g, p), i in zip(where, b.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(group, pa.int64()), *b.columns[1:]], names=["block", "cell", "key", "first"])
+            t, cell, low = (b.column(k).to_numpy() for k in (0, 1, 3))
+            yield pa.RecordBatch.from_arrays([pa.array(at[t, cell] + low % parts[t, cell]), *b.columns[1:]], names=["block", "cell", "key", "first"])
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = plan.value
+        at, parts, held = plan.value
+        own = sent.value
         for b in batches:
-            good = [(i, v) for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if i is not None and v and len(v) == sent.value.dim and None not in v]
+            good = [(i, v) for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if i is not None and v and len(v) == own.dim and None not in v]
             good = [(i, x) for i, x in ((i, np.array(v, "<f8")) for i, v in good) if np.isfinite(x).all() and x.any()]
             for lo in range(0, len(good), 64):
                 part = good[lo : lo + 64]
                 q = np.stack([x for _, x in part])
-                out: dict[str, list] = {"block": [], "query": [], "key": [], "cells": []}
-                cosine = sent.value.cosines(q)
+                seen = np.zeros((len(part), len(own.sample)), bool)
+                found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # query, block, cell
+                cosine = own.cosines(q)
                 for t in range(tables):
-                    chance = sent.value.success(q, cosine, t)
-                    sizes = np.zeros(chance.shape[1])
-                    sizes[list(held[t])] = list(held[t].values())
+                    chance = own.success(q, cosine, t)
                     order = np.argsort(-chance, axis=1, kind="stable")
                     sure = np.cumsum(np.take_along_axis(chance, order, 1), axis=1)
-                    seen = np.cumsum(sizes[order], axis=1)
-                    for r, (i, x) in enumerate(part):
-                        enough = max(np.searchsorted(sure[r], success), np.searchsorted(seen[r], min(least, seen[r][-1]))) + 1
-                        by: dict[int, list[int]] = {}
-                        for cell in order[r, :enough].tolist():
-                            if cell in held[t]:
-                                g, parts = at[t, cell]
-                                for s in range(parts):
-                                    by.setdefault(g + s, []).append(cell)
-                        for g, cells in by.items():
-                            for name, value in zip(out, (g, i, x.tobytes(), cells)):
-                                out[name].append(value)
-                kinds = {"block": pa.int64(), "query": pa.int64(), "key": pa.binary(), "cells": pa.list_(pa.int32())}
-                yield pa.RecordBatch.from_arrays([pa.array(out[c], kinds[c]) for c in out], names=list(out))
+                    reached = np.cumsum(held[t][order], axis=1)
+                    for r in range(len(part)):
+                        enough = max(np.searchsorted(sure[r], success), np.searchsorted(reached[r], min(least, reached[r][-1]))) + 1
+                        visited = np.zeros(number, bool)
+                        visited[order[r, :enough]] = True
+                        seen[r] |= visited[own.sample_cells[t]]
+                        cells = np.flatnonzero(visited & (held[t] > 0))
+                        copies = parts[t][cells]
+                        block_id = np.repeat(at[t][cells] - np.cumsum(copies) + copies, copies) + np.arange(int(copies.sum()))
+                        found.append((np.full(len(block_id), r), block_id, np.repeat(cells, copies)))
+                scores = np.where(seen, q @ own.sample.T * own.norm, -np.inf)
+                if scores.shape[1] > k:
+                    floor = np.partition(scores, -k - 1, axis=1)[:, -k - 1] - 1e-9 * own.norm * np.linalg.norm(q, axis=1)
+                else:
+                    floor = np.full(len(part), -np.inf)
+                who, block_id, cell = (np.concatenate(x) for x in zip(*found))
+                order = np.lexsort((cell, block_id, who))
+                who, block_id, cell = who[order], block_id[order], cell[order]
+                begin = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (block_id[1:] != block_id[:-1]))) if len(who) else np.zeros(0, int)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(who)).astype(np.int32)), pa.array(cell.astype(np.int32)))
+                asking = who[begin]
+                columns = [
+                    pa.array(block_id[begin]), pa.array(np.array([i for i, _ in part], np.int64)[asking]),
+                    pa.array([part[r][1].tobytes() for r in asking], pa.binary()), lists, pa.array(floor[asking]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "query", "key", "cells", "floor"])
 
     def scored(block_rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query": pd.Series(dtype="int64"), "first": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
@@ -263,8 +285,7 @@ def nearest(
         block_rows = block_rows.sort_values("cell", kind="stable").reset_index(drop=True)
         x = np.frombuffer(b"".join(block_rows["key"]), "<f8").reshape(len(block_rows), -1)
         q = np.frombuffer(b"".join(asked["key"]), "<f8").reshape(len(asked), -1)
-        low = block_rows["first"].to_numpy()
-        own = asked["query"].to_numpy()
+        low, own, floor = block_rows["first"].to_numpy(), asked["query"].to_numpy(), asked["floor"].to_numpy()
         cell = block_rows["cell"].to_numpy()
         row = np.repeat(np.arange(len(asked)), asked["cells"].map(len))
         wanted = np.concatenate(asked["cells"].to_list())
@@ -277,13 +298,11 @@ def nearest(
                 continue
             who = row[slice(*np.searchsorted(wanted, [c, c + 1]))]
             s = q[who] @ x[lo:hi].T
-            if hi - lo > k + 1:
-                top = np.argpartition(-s, k, axis=1)[:, : k + 1] if k + 1 < hi - lo else np.tile(np.arange(hi - lo), (len(who), 1))
+            bound = floor[who]
+            if hi - lo > k + 1 and (free := np.isneginf(bound)).any():
                 # rows tied with the last one stay, so that ties go by id
-                floor = np.take_along_axis(s, top, 1).min(axis=1)
-                a, b = np.nonzero(s >= floor[:, None] - 1e-12)
-            else:
-                a, b = np.nonzero(np.ones_like(s, bool))
+                bound[free] = np.partition(s[free], hi - lo - k - 1, axis=1)[:, hi - lo - k - 1] - 1e-12
+            a, b = np.nonzero(s >= bound[:, None])
             held.append(pd.DataFrame({"query": who[a], "at": lo + b, "first": low[lo + b], "score": s[a, b]}))
             waiting += len(a)
             if waiting > 500_000:
@@ -298,7 +317,7 @@ def nearest(
 
     left = rows.mapInArrow(placed, "block long, cell long, key binary, first long").groupBy("block")
     asked = queries.select(F.col(id_col).cast("long").alias("query"), F.col(vec_col).cast("array<double>").alias("v"))
-    right = asked.mapInArrow(probed, "block long, query long, key binary, cells array<int>").groupBy("block")
+    right = asked.mapInArrow(probed, "block long, query long, key binary, cells array<int>, floor double").groupBy("block")
     found = left.cogroup(right).applyInPandas(scored, "query long, first long, score double")
     merged = found.groupBy("query", "first").agg(F.max("score").alias("score"))
     # k + 1 vectors hold k ids besides the query's own, whatever their copies

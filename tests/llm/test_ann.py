@@ -66,6 +66,24 @@ def test_recall_beside_a_tight_cluster(spark, share):
     assert sum(hit[i] for i in asked[30:]) / (60 * 20) >= 0.9
 
 
+def test_recall_in_64_dimensions(spark):
+    """Vectors without any clusters, the worst case: two thirds of them have to be scored."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(4)
+    found = {}
+    for r in nearest(vectors, vectors.where("vec_id % 200 = 0"), k=20).collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    hit = 0
+    for i, mine in found.items():
+        s = x @ x[i]
+        s[i] = -np.inf
+        assert len(mine) == 20
+        hit += len(set(mine) & set(np.argsort(-s)[:20].tolist()))
+    assert len(found) == 100 and hit / 2000 >= 0.9
+
+
 def test_few_vectors(spark):
     assert nearest(spark.createDataFrame([], SCHEMA), spark.createDataFrame([], SCHEMA)).collect() == []
     two = spark.createDataFrame([(1, [1.0, 0.0], None, None), (2, [0.5, 0.5], None, None)], SCHEMA)
