@@ -185,29 +185,42 @@ def suffix_keys(host: str, tokens: list[str], least: int) -> list[int]:
     suffixes share a key where their common prefix is that long; a shorter stream has one key."""
     starts = range(max(1, len(tokens) - least + 1)) if tokens else ()
     seed = xxhash.xxh64_intdigest(host)
-    keys = (xxhash.xxh64_intdigest("\x1f".join(tokens[i : i + least]), seed) for i in starts)
-    return [k - (1 << 64) if k >> 63 else k for k in keys]
+    return [_signed(xxhash.xxh64_intdigest("\x1f".join(tokens[i : i + least]), seed)) for i in starts]
 
 
-PARSED = "page_id long, url string, content long, has_main boolean, text string, open array<string>, keys array<long>"
+PARSED = "page_id long, url string, host long, content long, has_main boolean, text string, open array<string>, keys array<long>"
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def article_of(found: list[tuple[str, str]]) -> tuple[list[str], list[str], list[str]]:
+    """A page's declared article, the blocks that have to be told apart without one, and the
+    other blocks that its host's repetition is looked for in. A declared article with less than
+    a quarter of the words that nothing speaks against outside of it is a teaser beside the
+    text, so such a page has none."""
+    words = {z: sum(t.count(" ") + 1 for y, t in found if y == z) for z in ("main", "open")}
+    if words["main"] and 4 * words["main"] >= words["open"]:
+        return [t for z, t in found if z == "main"], [], [t for z, t in found if z != "main"]
+    return [], [t for z, t in found if z != "skip"], []
 
 
 def parse_pages(pages: DataFrame, least: int, id_col: str, url_col: str, html_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: dict[str, list] = {k: [] for k in ("content", "has_main", "text", "open", "keys")}
+            out: dict[str, list] = {k: [] for k in ("host", "content", "has_main", "text", "open", "keys")}
             for url, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 found = blocks(page or "")
-                main = [t for z, t in found if z == "main"]
-                rest = [t for z, t in found if z == "open"]
-                stream = [w for z, t in found if z != "main" for w in t.split(" ")] if main else [w for t in rest for w in t.split(" ")]
-                content = xxhash.xxh64_intdigest("\n".join(t for z, t in found if z != "skip"))
-                out["content"].append(content - (1 << 64) if content >> 63 else content)
+                main, rest, around = article_of(found)
+                host = host_of(url)
+                out["host"].append(_signed(xxhash.xxh64_intdigest(host)))
+                out["content"].append(_signed(xxhash.xxh64_intdigest("\n".join(t for z, t in found if z != "skip"))))
                 out["has_main"].append(bool(main))
                 out["text"].append("\n".join(main) if main else None)
                 out["open"].append(None if main else rest)
-                out["keys"].append(suffix_keys(host_of(url), stream, least))
-            kinds = (pa.int64(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()))
+                out["keys"].append(suffix_keys(host, [w for t in around or rest for w in t.split(" ")], least))
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()))
             cols = [pa.array(v, t) for v, t in zip(out.values(), kinds)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["page_id", "url", *out])
 
@@ -215,19 +228,23 @@ def parse_pages(pages: DataFrame, least: int, id_col: str, url_col: str, html_co
     return picked.mapInArrow(run, PARSED)
 
 
-def repeated_keys(parsed: DataFrame) -> DataFrame:
-    """``(key)``: suffix keys that occur on pages of different content of one host. Copies of a
-    page don't make their own text boilerplate. Counted by partial aggregates: a run on every
-    page of a large host is one row a task."""
-    rows = parsed.select("content", F.explode("keys").alias("key"))
-    return rows.groupBy("key").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a <> b").select("key")
+def repeated_keys(parsed: DataFrame, share: float, pages: int, most_sent: int = 1_000_000) -> DataFrame:
+    """``(key)``: suffix keys that at least ``pages`` pages of different content of a host have,
+    and the ``share`` of its different contents. Copies of a page count once, so they don't make
+    their own text boilerplate. Pages are counted by partial aggregates."""
+    hosts = parsed.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("contents"))
+    rows = parsed.select("host", "content", F.explode(F.array_distinct("keys")).alias("key")).distinct()
+    counts = rows.groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= pages)
+    hosts = hosts.where(F.col("contents") >= pages)
+    hosts = F.broadcast(hosts) if hosts.limit(most_sent + 1).count() <= most_sent else hosts.hint("merge")
+    return counts.join(hosts, "host").where(F.col("n") >= share * F.col("contents")).select("key")
 
 
-def unique_runs(texts: list[str], covered: set[int], least: int, shortest: int) -> str:
+def unique_runs(texts: list[str], covered: set[int], least: int) -> str:
     """The blocks without their covered tokens. ``covered`` holds the suffixes whose first
-    ``least`` tokens are repeated. In a block a run of covered tokens goes if it is that long there
-    or is the whole block; what remains of a block that lost tokens counts from ``shortest``
-    tokens in a row on."""
+    ``least`` tokens are repeated. A run of covered tokens counts in a block if it is that long
+    there or is the whole block; such runs go where they make up half of the block, so that
+    running text keeps a phrase or a quotation that others have too."""
     gone: set[int] = {i for s in covered for i in range(s, s + least)}
     out, at = [], 0
     for t in texts:
@@ -243,47 +260,45 @@ def unique_runs(texts: list[str], covered: set[int], least: int, shortest: int)
             out += [t] * (not runs[0][0])
             continue
         # a repeated run counts in a block only by its tokens there: it may begin in another
-        parts: list[tuple[bool, list[str]]] = []
-        for hit, run in ((h and len(r) >= least, r) for h, r in runs):
-            if parts and parts[-1][0] == hit:
-                parts[-1][1].extend(run)
-            else:
-                parts.append((hit, list(run)))
-        whole = len(parts) == 1
-        if kept := [" ".join(r) for hit, r in parts if not hit and (whole or len(r) >= shortest)]:
-            out.append(" ".join(kept))
+        lost = [r for hit, r in runs if hit and len(r) >= least]
+        if 2 * sum(map(len, lost)) < len(words):
+            out.append(t)
+            continue
+        out.append(" ".join(w for hit, r in runs if not hit or len(r) < least for w in r))
     return "\n".join(out)
 
 
-def extract(pages: DataFrame, least: int = 8, shortest: int = 5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def extract(pages: DataFrame, least: int = 8, share: float = 0.02, support: int = 3, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(page_id, url, text, n_chars, repeated_tokens)`` for every row.
 
     A host's suffix array over the token streams of its pages is kept in shards: suffixes meet
-    by host and their first ``least`` tokens, so equal keys are suffixes with a common prefix
-    of that length, and keys on pages of different content mark boilerplate. The streams are
+    by host and their first ``least`` tokens, so equal keys are an interval of the array with
+    common prefixes of that length. An interval with suffixes of ``support`` pages of different
+    content, and of the ``share`` of the host's contents, marks boilerplate. The streams are
     what no page declares to be its article. Text in a declared article is the page's text,
     without the parts that declare themselves menus, notices, comments and the like, and isn't
     removed for being repeated: articles quote each other. A page without a declared article
     gives its remaining blocks without the runs that its host repeats.
 
     Null or empty pages give an empty text; a null url is a host of its own; repeated rows,
-    null ids and broken markup are handled row by row. ``repeated_tokens`` counts what the
-    host's repetition removed.
+    null ids and broken markup are handled row by row; very long pages are one row's work; an
+    empty table gives none. ``repeated_tokens`` counts what the host's repetition removed.
     """
     parsed = materialize(parse_pages(pages, least, id_col, url_col, html_col), "pages").withColumn("row", F.monotonically_increasing_id())
     done = parsed.where("has_main").select("page_id", "url", "text", F.lit(0).cast("long").alias("repeated_tokens"))
     loose = materialize(parsed.where("not has_main").select("row", "page_id", "url", "open", "keys"), "loose")
-    salts = 16  # a run on very many pages joins in as many parts
-    keys = repeated_keys(parsed).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    places = loose.select("row", F.pmod("row", F.lit(salts)).cast("int").alias("salt"), F.posexplode("keys").alias("place", "key"))
-    hits = places.join(keys, ["key", "salt"], "left_semi").groupBy("row").agg(F.collect_list("place").alias("places"))
+    keys = materialize(repeated_keys(parsed, share, support), "keys")
+    # a run on very many pages is one key on one side and many rows on the other, which
+    # adaptive execution splits
+    places = loose.select("row", F.posexplode("keys").alias("place", "key"))
+    hits = places.join(keys, "key", "left_semi").groupBy("row").agg(F.collect_list("place").alias("places"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, lost = [], []
             for open_blocks, places in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 before = sum(t.count(" ") + 1 for t in open_blocks or ())
-                texts.append(unique_runs(open_blocks or [], set(places or ()), least, shortest))
+                texts.append(unique_runs(open_blocks or [], set(places or ()), least))
                 lost.append(before - sum(t.count(" ") + 1 for t in texts[-1].split("\n") if t))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(lost, pa.int64())], names=["page_id", "url", "text", "repeated_tokens"])
 
