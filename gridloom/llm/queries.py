@@ -14,7 +14,7 @@ from gridloom.llm.html_extract import extract
 from gridloom.llm.packing import pack
 from gridloom.llm.simhash import near_duplicates
 from gridloom.llm.suffix_dedup import remove_repeats
-from gridloom.llm.webp import store_texts
+from gridloom.llm.media import store_texts
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

@@ -1,18 +1,10 @@
-"""Media columns: lossless WebP, decoded to pixel arrays, and a writer for byte payloads."""
+"""Decoder of lossless WebP: prefix codes, back-references, colour cache, all transforms."""
 
 from __future__ import annotations
 
-import hashlib
 import struct
-import zlib
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from gridloom.llm.common import utf8
 
 # Fixed values of the format.
 CODE_LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
@@ -29,8 +21,6 @@ NEAR_DISTANCES = (
 LENGTHS, DISTANCES, LITERALS = 24, 40, 256
 SIGNATURE = 0x2F
 CACHE_FACTOR = 0x1E35A7BD
-#: Byte with its bits in reverse order: codes are stored from their first bit on.
-REVERSED = bytes(int(f"{i:08b}"[::-1], 2) for i in range(256))
 
 Image = np.ndarray  # height, width, 4 samples: alpha, red, green, blue
 
@@ -64,7 +54,6 @@ class PrefixCode:
         used = [s for s, n in enumerate(lengths) if n]
         if not used:
             raise WebpError("a prefix code without symbols")
-        self.uniform = len(used) == 256 and used[-1] == 255 and all(lengths[s] == 8 for s in used)
         self.only = used[0] if len(used) == 1 else None
         if self.only is not None:
             return
@@ -132,18 +121,154 @@ def _prefixed(bits: Bits, symbol: int) -> int:
     return ((2 + (symbol & 1)) << extra) + bits.read(extra) + 1
 
 
-def _flat_pixels(bits: Bits, n: int) -> np.ndarray:
-    """Pixels whose four codes all have 256 symbols of eight bits: no length or cache symbol
-    can occur, so every pixel is 32 bits and all are decoded at once."""
-    lo, shift = bits.at >> 3, bits.at & 7
-    raw = np.frombuffer(bits.data, np.uint8, offset=lo)
-    if 8 * len(raw) < 32 * n + shift:
-        raise WebpError("the stream ends early")
-    if shift:
-        raw = (raw[: 4 * n] >> shift) | (np.append(raw[1 : 4 * n + 1], np.uint8(0))[: 4 * n] << (8 - shift)).astype(np.uint8)
-    bits.at += 32 * n
-    green = np.frombuffer(raw[: 4 * n].tobytes().translate(REVERSED), np.uint8).reshape(n, 4).astype(np.uint32)
-    return (green[:, 3] << 24) | (green[:, 1] << 16) | (green[:, 0] << 8) | green[:, 2]
+class CodeGroup:
+    """The five prefix codes of an image: green with lengths and cache entries, red, blue,
+    alpha, distance. ``symbol`` and ``length`` are the tables of the first four, all over the
+    next ``width`` bits; equal tables are one object."""
+
+    def __init__(self, codes: list[PrefixCode]):
+        self.codes = codes
+        self.width = max([c.width for c in codes[:4] if c.only is None], default=1)
+        self.symbol, self.length = [], []
+        for c in codes[:4]:
+            tables = ([c.only], [0]) if c.only is not None else (c.symbol, c.length)
+            for held, table, kind in zip((self.symbol, self.length), tables, (np.uint16, np.uint8)):
+                whole = np.tile(np.array(table, kind), (1 << self.width) // len(table))
+                held.append(next((t for t in held[1:] if (t == whole).all()), whole))
+        #: green's length, or 255 before a length or a cache entry
+        self.first = np.where(self.symbol[0] < LITERALS, self.length[0], np.uint8(255))
+
+
+#: Groups of codes read before, by alphabets, size in bits and bits; a worker remembers a few.
+_READ: dict[tuple[int, ...], dict[int, dict[int, CodeGroup]]] = {}
+REMEMBERED = 64
+
+
+def read_group(bits: Bits, alphabets: tuple[int, ...]) -> CodeGroup:
+    sizes = _READ.setdefault(alphabets, {})
+    for size, known in sizes.items():
+        if bits.at + size <= 8 * len(bits.data) and (group := known.get(bits.peek(size))) is not None:
+            bits.at += size
+            return group
+    begin = bits.at
+    group = CodeGroup([read_prefix_code(bits, a) for a in alphabets])
+    end, bits.at = bits.at, begin
+    if sum(len(known) for by in _READ.values() for known in by.values()) >= REMEMBERED:
+        _READ.clear()
+        sizes = _READ.setdefault(alphabets, {})
+    sizes.setdefault(end - begin, {})[bits.read(end - begin)] = group
+    return group
+
+
+def _reference(bits: Bits, symbol: int, distance: PrefixCode, width: int, at: int, n: int) -> tuple[int, int]:
+    """A back-reference's number of pixels and how far back they lie."""
+    length = _prefixed(bits, symbol - LITERALS)
+    code = _prefixed(bits, distance.read(bits))
+    if code > len(NEAR_DISTANCES):
+        back = code - len(NEAR_DISTANCES)
+    else:
+        dx, dy = NEAR_DISTANCES[code - 1]
+        back = max(1, dx + dy * width)
+    if back > at or at + length > n:
+        raise WebpError("a back-reference outside of the image")
+    return length, back
+
+
+#: Bytes of a stream whose bit positions are looked up together.
+STRIDE = 1 << 14
+
+
+def _one_group(bits: Bits, width: int, n: int, group: CodeGroup, cache_bits: int) -> np.ndarray:
+    """Pixels of an image with one group of codes. Where a pixel's four symbols would end is
+    worked out for every bit position of a stretch of the stream at once; following the pixels
+    is then one step each. Only back-references are read one by one."""
+    out = np.zeros(n, np.uint32)
+    cache: dict[int, int] = {}
+    shift, factor = np.uint32(32 - cache_bits), np.uint32(CACHE_FACTOR)
+    slots = lambda pixels: ((pixels * factor) >> shift).tolist()
+    symbol, length = group.symbol, group.length
+    total, at = 8 * len(bits.data), 0
+    raw = np.frombuffer(bits.data, np.uint8)
+    mask, eight = np.uint32((1 << group.width) - 1), np.arange(8, dtype=np.uint32)
+    while at < n:
+        lo = bits.at >> 3
+        if 8 * lo > total:
+            raise WebpError("the stream ends early")
+        part = raw[lo : lo + STRIDE + 16]
+        size = 8 * min(STRIDE, len(part) + 1)
+        byte = np.zeros(len(part) + 20, np.uint32)
+        byte[: len(part)] = part
+        byte = byte[:-3] | (byte[1:-2] << 8) | (byte[2:-1] << 16)
+        look = ((byte[:, None] >> eight) & mask).ravel()
+        taken = {id(t): t.take(look) for t in {id(t): t for t in length[1:]}.values()}
+        step = [taken[id(t)] for t in length[1:]]
+        end = group.first.take(look[:size]).astype(np.int32)
+        special = end == 255
+        end += np.arange(size, dtype=np.int32)
+        for after in step:
+            end += after.take(end, mode="clip")
+        end[special] = -1
+        if cache_bits:  # a cache entry is a pixel by itself
+            entry = np.flatnonzero(special)
+            entry = entry[symbol[0].take(look[entry]) >= LITERALS + LENGTHS]
+            end[entry] = entry + length[0].take(look[entry])
+        nxt = memoryview(np.append(end, np.full(64, -1, np.int32)))
+        here, starts, copies, ahead = bits.at - 8 * lo, [], [], 0
+        append = starts.append
+        while (left := n - at - ahead - len(starts)) > 0:
+            for _ in range(left):
+                then = nxt[here]
+                if then < 0:
+                    break
+                append(here)
+                here = then
+            else:
+                break
+            if here >= size:
+                break
+            code = int(look[here])
+            bits.at = 8 * lo + here + int(length[0][code])
+            found = _reference(bits, int(symbol[0][code]), group.codes[4], width, at + ahead + len(starts), n)
+            copies.append((len(starts), *found))
+            ahead += found[0]
+            here = bits.at - 8 * lo
+            if here >= size:
+                break
+        bits.at = 8 * lo + here
+        if bits.at > total:
+            raise WebpError("the stream ends early")
+        place = np.array(starts, np.int64)
+        code = look.take(place)
+        green = symbol[0].take(code)
+        pixels = green.astype(np.uint32) << 8
+        place += length[0].take(code)
+        for table, after, up in zip(symbol[1:], step, (16, 0, 24)):
+            code = look.take(place, mode="clip")
+            pixels |= table.take(code).astype(np.uint32) << up
+            place += after.take(place, mode="clip")
+        entries = np.flatnonzero(green >= LITERALS)  # cache entries by place, then an end mark
+        marks = iter([*zip(entries.tolist(), (green[entries] - (LITERALS + LENGTHS)).tolist()), (len(starts), -1)])
+        if cache_bits:
+            slot, plain = slots(pixels), pixels.tolist()
+        done = 0
+        entry_at, entry_slot = next(marks)
+        for upto, count, back in [*copies, (len(starts), 0, 0)]:
+            first = done
+            while entry_at < upto:
+                cache.update(zip(slot[done:entry_at], plain[done:entry_at]))
+                pixels[entry_at] = cache.get(entry_slot, 0)
+                done = entry_at + 1
+                entry_at, entry_slot = next(marks)
+            if cache_bits:
+                cache.update(zip(slot[done:upto], plain[done:upto]))
+            out[at : at + upto - first] = pixels[first:upto]
+            at, done = at + upto - first, upto
+            if count:
+                out[at : at + count] = np.resize(out[at - back : at], count) if back < count else out[at - back : at - back + count]
+                if cache_bits:
+                    cache.update(zip(slots(out[at : at + count]), out[at : at + count].tolist()))
+                at += count
+    return out
 
 
 def read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
@@ -160,33 +285,27 @@ def read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
         which = (read_pixels(bits, tiles_wide, tiles_high, False) >> 8) & 0xFFFF
         groups = int(which.max()) + 1
     alphabets = (LITERALS + LENGTHS + ((1 << cache_bits) if cache_bits else 0), LITERALS, LITERALS, LITERALS, DISTANCES)
-    codes = [[read_prefix_code(bits, a) for a in alphabets] for _ in range(groups)]
-    n = width * height
-    if groups == 1 and all(c.uniform for c in codes[0][:4]):
-        return _flat_pixels(bits, n)
+    codes = [read_group(bits, alphabets) for _ in range(groups)]
+    if groups == 1:
+        return _one_group(bits, width, width * height, codes[0], cache_bits)
+    return _many_groups(bits, width, width * height, codes, which, tile_bits, tiles_wide, cache_bits)
+
+
+def _many_groups(bits: Bits, width: int, n: int, groups: list[CodeGroup], which: np.ndarray, tile_bits: int, tiles_wide: int, cache_bits: int) -> np.ndarray:
+    """Pixels of an image whose tiles have codes of their own, symbol by symbol."""
     out = [0] * n
     cache = [0] * (1 << cache_bits) if cache_bits else []
     shift = 32 - cache_bits
     at = cached = 0
-    green, red, blue, alpha, distance = codes[0]
     while at < n:
-        if which is not None:
-            green, red, blue, alpha, distance = codes[which[(at // width >> tile_bits) * tiles_wide + (at % width >> tile_bits)]]
+        green, red, blue, alpha, distance = groups[which[(at // width >> tile_bits) * tiles_wide + (at % width >> tile_bits)]].codes
         s = green.read(bits)
         if s < LITERALS:
             r, b = red.read(bits), blue.read(bits)
             out[at] = alpha.read(bits) << 24 | r << 16 | s << 8 | b
             at += 1
         elif s < LITERALS + LENGTHS:
-            length = _prefixed(bits, s - LITERALS)
-            code = _prefixed(bits, distance.read(bits))
-            if code > len(NEAR_DISTANCES):
-                back = code - len(NEAR_DISTANCES)
-            else:
-                dx, dy = NEAR_DISTANCES[code - 1]
-                back = max(1, dx + dy * width)
-            if back > at or at + length > n:
-                raise WebpError("a back-reference outside of the image")
+            length, back = _reference(bits, s, distance, width, at, n)
             for _ in range(length):
                 out[at] = out[at - back]
                 at += 1
@@ -209,8 +328,9 @@ def _average(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _predict(mode: int, left: np.ndarray, top: np.ndarray, top_right: np.ndarray, top_left: np.ndarray) -> np.ndarray:
+    """The prediction of some pixels from their neighbours, one row of four samples each."""
     if mode == 0 or mode > 13:
-        return np.array([255, 0, 0, 0])
+        return np.broadcast_to([255, 0, 0, 0], left.shape)
     if mode < 5:
         return (left, top, top_right, top_left)[mode - 1]
     if mode == 5:
@@ -220,8 +340,8 @@ def _predict(mode: int, left: np.ndarray, top: np.ndarray, top_right: np.ndarray
     if mode == 10:
         return _average(_average(left, top_left), _average(top, top_right))
     if mode == 11:
-        nearer_left = np.abs(top - top_left).sum() < np.abs(left - top_left).sum()
-        return left if nearer_left else top
+        nearer_left = np.abs(top - top_left).sum(axis=-1) < np.abs(left - top_left).sum(axis=-1)
+        return np.where(nearer_left[:, None], left, top)
     if mode == 12:
         return np.clip(left + top - top_left, 0, 255)
     mean = _average(left, top)
@@ -229,19 +349,33 @@ def _predict(mode: int, left: np.ndarray, top: np.ndarray, top_right: np.ndarray
 
 
 def undo_predictor(image: Image, modes: np.ndarray, tile_bits: int) -> Image:
-    """Add each pixel's prediction from its decoded neighbours, mode by tile."""
+    """Add each pixel's prediction from its decoded neighbours, mode by tile.
+
+    One mode of the left or upper pixel everywhere is a running sum. Else pixels with equal
+    ``x + 2 y`` are worked out together: none of them is a neighbour that another needs."""
     height, width, _ = image.shape
-    out = image.astype(int)
-    for y in range(height):
-        for x in range(width):
-            if y == 0:
-                guess = np.array([255, 0, 0, 0]) if x == 0 else out[0, x - 1]
-            elif x == 0:
-                guess = out[y - 1, 0]
-            else:
-                right = out[y - 1, x + 1] if x + 1 < width else out[y, 0]
-                guess = _predict(int(modes[y >> tile_bits, x >> tile_bits]), out[y, x - 1], out[y - 1, x], right, out[y - 1, x - 1])
-            out[y, x] = (out[y, x] + guess) & 255
+    out = image.copy()
+    out[0, 0, 0] = (int(out[0, 0, 0]) + 255) & 255
+    out[0] = np.cumsum(out[0], axis=0, dtype=np.uint8)
+    first = int(modes.flat[0])
+    if first == 2 and (modes == 2).all():
+        return np.cumsum(out, axis=0, dtype=np.uint8)
+    out[:, 0] = np.cumsum(out[:, 0], axis=0, dtype=np.uint8)
+    if first == 1 and (modes == 1).all():
+        out[1:] = np.cumsum(out[1:], axis=1, dtype=np.uint8)
+        return out
+    out = out.astype(int)
+    for diagonal in range(3, width + 2 * height - 2):
+        y = np.arange(max(1, (diagonal - width + 2) // 2), min(height - 1, (diagonal - 1) // 2) + 1)
+        x = diagonal - 2 * y
+        if not len(y):
+            continue
+        right = np.where((x + 1 < width)[:, None], out[y - 1, np.minimum(x + 1, width - 1)], out[y, 0])
+        around = (out[y, x - 1], out[y - 1, x], right, out[y - 1, x - 1])
+        mode = modes[y >> tile_bits, x >> tile_bits]
+        for m in np.unique(mode):
+            own = mode == m
+            out[y[own], x[own]] = (out[y[own], x[own]] + _predict(int(m), *(a[own] for a in around))) & 255
     return out.astype(np.uint8)
 
 
@@ -270,13 +404,25 @@ def undo_palette(image: Image, palette: np.ndarray, width: int) -> Image:
     return whole[index]
 
 
+def _stream(data: bytes) -> bytes:
+    """The lossless chunk's bits, also of an extended file with other chunks before."""
+    if data[:4] != b"RIFF" or data[8:12] != b"WEBP":
+        raise WebpError("not a WebP file")
+    at = 12
+    while at + 8 <= len(data):
+        kind, size = data[at : at + 4], struct.unpack_from("<I", data, at + 4)[0]
+        if kind == b"VP8L":
+            if size < 5 or data[at + 8 : at + 9] != bytes([SIGNATURE]):
+                break
+            return data[at + 9 : at + 8 + size]
+        at += 8 + size + size % 2
+    raise WebpError("not a lossless WebP file")
+
+
 def decode(data: bytes) -> Image:
     """The pixels of a lossless WebP file, as an array of height x width x (alpha, red, green,
     blue). Raises WebpError for anything else."""
-    if data[:4] != b"RIFF" or data[8:16] != b"WEBPVP8L" or len(data) < 25 or data[20] != SIGNATURE:
-        raise WebpError("not a lossless WebP file")
-    size = struct.unpack_from("<I", data, 16)[0]
-    bits = Bits(data[21 : 20 + size])
+    bits = Bits(_stream(data))
     width, height = bits.read(14) + 1, bits.read(14) + 1
     has_alpha, version = bits.read(1), bits.read(3)
     if version:
@@ -315,136 +461,3 @@ def decode(data: bytes) -> Image:
         image = image.copy()
         image[..., 0] = 255
     return image
-
-
-class BitWriter:
-    def __init__(self):
-        self.word, self.size = 0, 0
-
-    def put(self, value: int, n: int) -> "BitWriter":
-        self.word |= value << self.size
-        self.size += n
-        return self
-
-    def bytes(self) -> bytes:
-        return self.word.to_bytes((self.size + 7) // 8, "little")
-
-
-def _container(stream: bytes) -> bytes:
-    pad = b"\0" * (len(stream) % 2)
-    return b"RIFF" + struct.pack("<I", 12 + len(stream) + len(pad)) + b"WEBPVP8L" + struct.pack("<I", len(stream)) + stream + pad
-
-
-WIDTH, MOST_ROWS = 144, 1 << 14
-
-
-def _literal_header(height: int) -> bytes:
-    """Everything before the pixels for literal codes of eight bits: 208 bits after the size,
-    so that pixels begin at a whole byte."""
-    w = BitWriter().put(WIDTH - 1, 14).put(height - 1, 14).put(1, 1).put(0, 3)
-    w.put(0, 1).put(0, 1).put(0, 1)  # no transform, no colour cache, one group of codes
-    for counted in (True, True, True, False):
-        w.put(0, 1).put(12 - 4, 4)
-        for s in CODE_LENGTH_ORDER[:12]:
-            w.put(int(s == 8), 3)
-        w.put(int(counted), 1)
-        if counted:  # 256 lengths are given, all eight
-            w.put(3, 3).put(254, 8)
-    w.put(1, 1).put(0, 1).put(0, 1).put(0, 1)  # the distance code, never used
-    return bytes([SIGNATURE]) + w.bytes()
-
-
-def encode_payload(payload: bytes) -> bytes:
-    """A payload of whole rows of 576 bytes as lossless WebP: 144 pixels a row, red, green,
-    blue and alpha being four bytes in a row. One file up to 16384 rows, then the next."""
-    row = 4 * WIDTH
-    if not payload or len(payload) % row:
-        raise WebpError("the payload isn't a positive number of whole rows")
-    files = []
-    for at in range(0, len(payload), row * MOST_ROWS):
-        part = payload[at : at + row * MOST_ROWS]
-        pixels = np.frombuffer(part, np.uint8).reshape(-1, 4)[:, (1, 0, 2, 3)]
-        files.append(_container(_literal_header(len(part) // row) + pixels.tobytes().translate(REVERSED)))
-    return b"".join(files)
-
-
-def split_files(media: bytes) -> list[bytes]:
-    out, at = [], 0
-    while at < len(media):
-        if media[at : at + 4] != b"RIFF":
-            raise WebpError("not a lossless WebP file")
-        end = at + 8 + struct.unpack_from("<I", media, at + 4)[0]
-        out.append(media[at:end])
-        at = end
-    return out
-
-
-def decode_payload(media: bytes) -> tuple[bytes, list[Image]]:
-    images = [decode(f) for f in split_files(media)]
-    return b"".join(i[..., (1, 2, 3, 0)].tobytes() for i in images), images
-
-
-def features(payload: bytes, images: list[Image]) -> str:
-    """Size, mean of each sample (red, green, blue, alpha) and the bytes' entropy in bits."""
-    counts = np.bincount(np.frombuffer(payload, np.uint8), minlength=256)
-    share = counts[counts > 0] / len(payload)
-    means = np.frombuffer(payload, np.uint8).reshape(-1, 4).mean(axis=0, dtype=np.float64)
-    size = f"{images[0].shape[1]}x{sum(i.shape[0] for i in images)}"
-    return f"{size};" + ",".join(f"{m:.4f}" for m in means) + f";{float(-(share * np.log2(share)).sum()):.4f}"
-
-
-def pad(text: bytes, unit: int = 4 * WIDTH) -> bytes:
-    return text + b"\xff" * (max(unit, -(-len(text) // unit) * unit) - len(text))
-
-
-def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_media: bool = False) -> DataFrame:
-    """Every row's text as a lossless WebP file that is read back: ``(doc_id, n_bytes,
-    payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature)``, and the
-    file with ``with_media``. The payload is the UTF-8 text, null being empty, filled with 255
-    to a positive multiple of 576; it is taken from the decoded file. Each text is one row's
-    work; nothing is shuffled. Null ids and repeated rows are kept."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows: dict[str, list] = {k: [] for k in ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")}
-            files = []
-            for text in utf8(b.column(1)):
-                text = text or b""
-                media = encode_payload(pad(text))
-                payload, images = decode_payload(media)
-                values = (len(text), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), features(payload, images))
-                for k, v in zip(rows, values):
-                    rows[k].append(v)
-                if with_media:
-                    files.append(media)
-            out = {"doc_id": b.column(0), **rows}
-            if with_media:
-                out["media"] = pa.array(files, pa.binary())
-            yield pa.RecordBatch.from_pydict(out)
-
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, schema + ", media binary" * with_media)
-
-
-def decode_media(media: DataFrame, media_col: str = "media") -> DataFrame:
-    """``media`` with ``width``, ``height``, ``pixels`` (binary, alpha-red-green-blue samples
-    row by row) and ``media_error``; a null or broken file gets null pixels and a reason."""
-    base = media.drop("width", "height", "pixels", "media_error")
-    at = base.columns.index(media_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[tuple] = []
-            for data in b.column(at).to_pylist():
-                try:
-                    image = decode(data or b"")
-                    out.append((image.shape[1], image.shape[0], image.tobytes(), None))
-                except WebpError as e:
-                    out.append((None, None, None, str(e)))
-            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.string())
-            more = [pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, "width", "height", "pixels", "media_error"])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields), "width int, height int, pixels binary, media_error string"])
-    return base.mapInArrow(run, schema)

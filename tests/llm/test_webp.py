@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -6,11 +7,25 @@ import pytest
 from pyspark.sql import types as T
 
 from gridloom.llm import webp
-from gridloom.llm.webp import BitWriter, WebpError, _container, decode, decode_media, decode_payload, encode_payload, store_texts
+from gridloom.llm import webp_writer as W
+from gridloom.llm.media import decode_media, decode_payload, pad, split_files, store_texts
+from gridloom.llm.webp import WebpError, decode
+from gridloom.llm.webp_writer import container, encode_payload, encode_rows
 
 
-class Stream(BitWriter):
-    """Writes streams by hand, independently of the module's own writer."""
+class Stream:
+    """Writes streams by hand, independently of the package's own writer."""
+
+    def __init__(self):
+        self.word, self.size = 0, 0
+
+    def put(self, value, n):
+        self.word |= value << self.size
+        self.size += n
+        return self
+
+    def bytes(self):
+        return self.word.to_bytes((self.size + 7) // 8, "little")
 
     def head(self, width, height, alpha=1):
         self.put(0x2F, 8).put(width - 1, 14).put(height - 1, 14).put(alpha, 1).put(0, 3)
@@ -41,7 +56,7 @@ class Stream(BitWriter):
         return dict(self.codes)
 
     def file(self):
-        return _container(self.bytes())
+        return container(self.bytes())
 
 
 def argb(image):
@@ -174,11 +189,85 @@ def test_broken_files(data):
 
 def test_payload_round_trip():
     rng = np.random.default_rng(0)
-    for rows in (1, 3, webp.MOST_ROWS + 2):
+    for rows in (1, 3, W.MOST_ROWS + 2):
         payload = rng.integers(0, 256, 576 * rows, dtype=np.uint8).tobytes()
         media = encode_payload(payload)
         assert decode_payload(media)[0] == payload
-        assert len(webp.split_files(media)) == 1 + (rows > webp.MOST_ROWS)
+        assert len(split_files(media)) == 1 + (rows > W.MOST_ROWS)
+
+
+WORDS = "the of and to in is that it was for on are as with his they at be this have from or one had by".split()
+
+
+def sample_texts():
+    rng = random.Random(7)
+    text = lambda n: " ".join(rng.choice(WORDS) + rng.choice(["", "s", "ing", "."]) for _ in range(n))
+    return {
+        "palette": [b"", b"ab" * 300, b"\n" * 5000, bytes([k % 7 for k in range(4000) for _ in range(4)])],
+        "plain": ["".join(rng.choice("etaoinshrldcumfpgw ") for _ in range(n)).encode() for n in (300, 2000)],
+        "cached": [(" ".join(f"{w:<7}" for w in text(400).split())).encode()],
+        "left": [bytes((k // 40) & 255 for k in range(20_000)), bytes(v for k in range(3000) for v in (k & 255, k & 255, 7, 200))],
+        "top": [bytes(np.add.outer(np.arange(30), np.random.default_rng(0).integers(0, 256, 576)).astype(np.uint8))],
+        "cross": [b"".join(bytes([r, g, r, a]) for r, g, a in ([rng.randrange(100, 200)] + rng.choices(b"etaoin shr", k=2) for _ in range(3000)))],
+    }
+
+
+@pytest.mark.parametrize("name", ["palette", "plain", "cached", "left", "top", "cross"])
+def test_every_form_is_chosen_and_read_back(name):
+    for text in sample_texts()[name]:
+        payload = pad(text)
+        chosen, file = encode_rows(payload)
+        assert chosen == name
+        assert decode_payload(file)[0] == payload
+
+
+def test_files_hold_references_and_are_shorter_than_text():
+    for text in sample_texts()["plain"] + sample_texts()["cached"]:
+        once, twice = (len(encode_payload(pad(t))) for t in (text, text + b" " * (-len(text) % 4) + text))
+        assert twice < 1.3 * once < 1.3 * (len(text) + 400)
+    assert W.find_copies(np.array([1, 2, 3, 4, 5, 1, 2, 3, 4, 9, 9, 9, 9, 9, 9], np.uint32)) == [(5, 4, 5), (10, 5, 1)]
+
+
+def test_fast_reader_equals_the_plain_one(monkeypatch):
+    """Both readers on the writer's streams, also with stretches of a few bytes."""
+    texts = [t for some in sample_texts().values() for t in some]
+    want = [decode(encode_payload(pad(t))) for t in texts]
+    monkeypatch.setattr(webp, "STRIDE", 24)
+    again = [decode(encode_payload(pad(t))) for t in texts]
+    monkeypatch.setattr(webp, "_one_group", lambda bits, width, n, group, cache: webp._many_groups(bits, width, n, [group], np.zeros(n, int), 0, 0, cache))
+    plain = [decode(encode_payload(pad(t))) for t in texts]
+    assert all((a == b).all() and (a == c).all() for a, b, c in zip(want, again, plain))
+
+
+def test_random_payloads():
+    rng = np.random.default_rng(9)
+    for k in range(60):
+        rows = int(rng.integers(1, 5))
+        data = rng.integers(0, [2, 20, 256][k % 3], 576 * rows, dtype=np.uint8)
+        if k % 2:
+            data = np.repeat(data, 4)[: 576 * rows]
+        assert decode_payload(encode_payload(data.tobytes()))[0] == data.tobytes()
+
+
+def test_extended_container():
+    file = encode_payload(b"x y z " * 96)
+    extended = b"RIFF" + (len(file) + 10).to_bytes(4, "little") + b"WEBPVP8X" + (10).to_bytes(4, "little") + bytes(10) + file[12:]
+    assert (decode(extended) == decode(file)).all()
+
+
+def test_wide_predictor_image():
+    rng = np.random.default_rng(2)
+    image, modes = rng.integers(0, 256, (9, 13, 4), dtype=np.uint8), rng.integers(0, 14, (3, 4))
+    out = webp.undo_predictor(image, modes, 2)
+    for y in range(9):
+        for x in range(13):
+            if y and x:
+                o = out.astype(int)
+                around = [o[y, x - 1], o[y - 1, x], o[y - 1, x + 1] if x < 12 else o[y, 0], o[y - 1, x - 1]]
+                guess = webp._predict(int(modes[y >> 2, x >> 2]), *(a[None] for a in around))[0]
+            else:
+                guess = out[0, x - 1] if x else out[y - 1, 0] if y else np.array([255, 0, 0, 0])
+            assert ((image[y, x] + guess.astype(int)) & 255 == out[y, x]).all()
 
 
 def test_table(spark):
