@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import gc
-import time
+import ctypes
 import uuid
 
 import pyarrow as pa
@@ -16,12 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's own setting by which a finished query's shuffle files go at once.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, and a lost
-    executor costs no recomputation of what lies before. The files go when the driver ends."""
+    executor costs no recomputation of what lies before. Its shuffle files go with the write,
+    the table when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
@@ -37,16 +46,6 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def release(spark: SparkSession, rounds: int = 3) -> None:
-    """Let the driver's cleaner drop the shuffle files of jobs that are over. It does so once
-    both Python's and the JVM's handles on their plans are collected; the JVM's only follow in
-    the round after Python's have been given back."""
-    for _ in range(rounds):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)
-
-
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
@@ -54,6 +53,9 @@ def utf8(column: pa.Array) -> list[bytes | None]:
 
 
 def give_back() -> None:
-    """At the end of a task: return what Arrow's pool holds unused, since the Python worker
-    stays and shares its executor's memory with later stages."""
+    """At the end of a task: return what Arrow's pool and the C library's heap hold unused, since
+    the Python worker stays and shares its executor's memory with later stages."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

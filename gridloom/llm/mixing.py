@@ -4,6 +4,8 @@ DataFrame functions only; the exponent is bisected inside the plan."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,52 +35,67 @@ def weights(docs: DataFrame, max_repetition: float | None = 2.0, target_entropy:
     or else to the smallest at which no source repeats more than ``max_repetition`` times. The
     total budget is the least that drops nothing: the source with most tokens per weight is
     used once. ``whole`` epochs and ``rest`` tokens of one more make up a source's budget. A
-    source without tokens weighs nothing and is used once.
+    source without tokens weighs nothing and is used once. A null source is a source; null
+    texts have no tokens; long texts count by their bytes; repeated rows count as often as they
+    occur; no rows give no weights.
     """
     if (max_repetition is None) == (target_entropy is None):
         raise ValueError("give either max_repetition or target_entropy")
     sums = docs.select(_source(source_col).alias("source"), token_estimate(text_col).alias("tokens"))
-    sums = sums.groupBy("source").agg(F.sum("tokens").alias("tokens"))
-    every = sums.agg(
-        F.collect_list(F.struct("source", "tokens")).alias("all"),
-        F.sum("tokens").alias("total"),
+    sums = materialize(sums.groupBy("source").agg(F.sum("tokens").alias("tokens")), "sources")
+    some = sums.where("tokens > 0")
+    ends = some.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("total"), F.min("tokens").alias("least"), F.max("tokens").alias("most"))
+    if max_repetition is not None:
+        solved = _fitting_repetition(ends, max_repetition)
+    else:
+        solved = _fitting_entropy(some, ends, target_entropy)
+    # what the sources are weighed by: a row of four numbers, whatever the sources
+    total, alpha, pull_least = solved.select("total", "alpha", F.pow(F.col("most") / F.col("total"), F.col("alpha") - 1).alias("pull")).first()
+    alpha = 1.0 if alpha is None else alpha
+    share = F.col("tokens") / F.lit(total)
+    z = some.agg(F.sum(F.pow(share, F.lit(alpha)))).first()[0]
+    weighed = F.col("tokens") > 0
+    rows = sums.select(
+        "source",
+        "tokens",
+        F.when(weighed, F.pow(share, F.lit(alpha)) / F.lit(z)).otherwise(0.0).alias("weight"),
+        F.when(weighed, F.pow(share, F.lit(alpha) - 1) / F.lit(pull_least)).otherwise(1.0).alias("repetition"),
     )
-    shares = F.transform(F.filter("all", lambda s: s["tokens"] > 0), lambda s: s["tokens"] / F.col("total"))
-    every = every.withColumn("p", shares)
-
-    def fits(a: Column) -> Column:
-        """Whether the exponent is on the upper side of the point sought."""
-        if max_repetition is not None:
-            pull = F.transform("p", lambda x: F.pow(x, a - 1))
-            return F.array_max(pull) <= F.array_min(pull) * max_repetition
-        add = lambda f: F.aggregate("p", F.lit(0.0), lambda acc, x: acc + f(x))
-        z = add(lambda x: F.pow(x, a))
-        return F.log(z) - a * add(lambda x: F.pow(x, a) * F.log(x)) / z < target_entropy
+    whole = F.floor(F.col("repetition") + 1e-9).cast("long")
+    rest = F.greatest(F.lit(0), F.floor((F.col("repetition") - whole) * F.col("tokens"))).cast("long")
+    return rows.select("*", whole.alias("whole"), rest.alias("rest"))
+
+
+def _fitting_repetition(ends: DataFrame, most: float) -> DataFrame:
+    """``ends`` with ``alpha``, the smallest exponent at which the smallest source's share is
+    pulled at most ``most`` times as far as the largest one's; all others lie between."""
+    least, top = F.col("least") / F.col("total"), F.col("most") / F.col("total")
+    fits = lambda a: F.pow(least, a - 1) <= F.pow(top, a - 1) * most
 
     def halve(s: Column, _: Column) -> Column:
         mid = (s["lo"] + s["hi"]) / 2
         ok = fits(mid)
         return F.struct(F.when(ok, s["lo"]).otherwise(mid).alias("lo"), F.when(ok, mid).otherwise(s["hi"]).alias("hi"))
 
-    ends = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi")), halve)
-    at_zero = F.when(F.coalesce(fits(F.lit(0.0)), F.lit(True)), F.lit(0.0))
-    side = ends["hi"] if max_repetition is not None else ends["lo"]
-    # materialised: later stages read the solved exponent, not the loop
-    solved = materialize(every.withColumn("alpha", F.coalesce(at_zero, side) if max_repetition is not None else side), "exponent")
-    pull = lambda t: F.pow(t / F.col("total"), F.col("alpha") - 1)
-    least = F.array_min(F.transform("p", lambda x: F.pow(x, F.col("alpha") - 1)))
-    z = F.aggregate("p", F.lit(0.0), lambda acc, x: acc + F.pow(x, F.col("alpha")))
-    rows = solved.select("total", "alpha", least.alias("least"), z.alias("z"), F.explode("all").alias("s"))
-    some = F.col("s.tokens") > 0
-    rows = rows.select(
-        "s.source",
-        "s.tokens",
-        F.when(some, F.pow(F.col("s.tokens") / F.col("total"), F.col("alpha")) / F.col("z")).otherwise(0.0).alias("weight"),
-        F.when(some, pull(F.col("s.tokens")) / F.col("least")).otherwise(1.0).alias("repetition"),
-    )
-    whole = F.floor(F.col("repetition") + 1e-9).cast("long")
-    rest = F.greatest(F.lit(0), F.floor((F.col("repetition") - whole) * F.col("tokens"))).cast("long")
-    return rows.select("*", whole.alias("whole"), rest.alias("rest"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi")), halve)
+    return ends.withColumn("alpha", F.when(F.coalesce(fits(F.lit(0.0)), F.lit(True)), F.lit(0.0)).otherwise(found["hi"]))
+
+
+def _fitting_entropy(some: DataFrame, ends: DataFrame, target: float, points: int = 31) -> DataFrame:
+    """``ends`` with ``alpha``, the largest exponent at which the weights' entropy is still
+    ``target``. Each aggregate over the sources tries ``points`` exponents of the interval that
+    is left, so twelve bisect it sixty times."""
+    total = ends.first()["total"]
+    lo, width = 0.0, 1.0
+    while total and width > 2.0**-STEPS:
+        tried = [lo + width * (k + 1) / (points + 1) for k in range(points)]
+        p = F.col("tokens") / F.lit(total)
+        sums = [f for a in tried for f in (F.sum(F.pow(p, F.lit(a))), F.sum(F.pow(p, F.lit(a)) * F.log(p)))]
+        found = some.agg(*[x.alias(f"s{k}") for k, x in enumerate(sums)]).first()
+        entropy = [math.log(found[2 * k]) - a * found[2 * k + 1] / found[2 * k] for k, a in enumerate(tried)]
+        width /= points + 1
+        lo += width * sum(h >= target for h in entropy)  # entropy falls as the exponent grows
+    return ends.withColumn("alpha", F.lit(lo))
 
 
 def _joined(rows: DataFrame, per_source: DataFrame, most_sent: int = 100_000) -> DataFrame:
@@ -119,10 +136,12 @@ def mix(docs: DataFrame, per_source: DataFrame, block_tokens: int = 250_000, see
     rows = rows.withColumn("block", F.floor(place * blocks / F.lit(1 << 32)).cast("long"))
     keys = ["source", "epoch", "block"]
     totals = rows.groupBy(*keys).agg(F.sum("size").alias("held"))
-    earlier = Window.partitionBy("source", "epoch").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(*keys, F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"))
+    bases = _block_bases(totals)
     inner = Window.partitionBy(*keys).orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("inner", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(bases, keys)
+    # texts without tokens in a source without any are all in one block and stand at its start
+    nothing = (F.col("tokens") == 0) & (F.col("size") == 0)
+    inside = rows.where(~nothing).withColumn("inner", F.coalesce(F.sum("size").over(inner), F.lit(0)))
+    placed = inside.unionByName(rows.where(nothing).withColumn("inner", F.lit(0).cast("long"))).join(bases, keys)
     before = F.col("base") + F.col("inner")
     used = placed.where((F.col("epoch") < F.col("whole")) | (before + F.col("size") <= F.col("rest")))
     return used.select(
@@ -138,18 +157,54 @@ def mix(docs: DataFrame, per_source: DataFrame, block_tokens: int = 250_000, see
     )
 
 
+#: Blocks that one running sum goes over.
+STRETCH = 4096
+
+
+def _block_bases(totals: DataFrame) -> DataFrame:
+    """``(source, epoch, block, base)``: the tokens of an epoch's earlier blocks. Running sums go
+    over stretches of blocks and then over the stretches, so no task holds a large source's."""
+    stretched = totals.withColumn("stretch", F.floor(F.col("block") / STRETCH))
+    over = stretched.groupBy("source", "epoch", "stretch").agg(F.sum("held").alias("all_held"))
+    prior = lambda *by: Window.partitionBy("source", "epoch", *by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    over = over.select("source", "epoch", "stretch", F.coalesce(F.sum("all_held").over(prior("stretch")), F.lit(0)).alias("far"))
+    near = stretched.withColumn("near", F.coalesce(F.sum("held").over(prior("stretch", "block")), F.lit(0)))
+    return near.join(over, ["source", "epoch", "stretch"]).select("source", "epoch", "block", (F.col("far") + F.col("near")).alias("base"))
+
+
 def repeat_documents(docs: DataFrame, max_repetition: float = 2.0, block_tokens: int = 250_000, seed: int = 42) -> DataFrame:
-    """The rows of ``docs`` as often as the mixture uses them, columns unchanged. A source's
-    partial epoch ends at one place of its permutation, so rows are chosen where they lie and
-    no text is shuffled. Documents of one hash place share its fate."""
+    """The rows of ``docs`` as often as the mixture uses them, columns unchanged, in the order of
+    the mixture.
+
+    A use's place in the mixture is the part of its source's budget before it: epoch after
+    epoch, in each the documents in the order of their permutation. So all sources run from
+    beginning to end side by side, in their weights, and a document's next use comes an epoch
+    later. The mixture is cut into blocks of about ``block_tokens``; a partition holds whole
+    blocks, each in order, and which ones follow each other is left to a hash: rows that are
+    read file by file are a permutation of blocks that each hold the mixture.
+
+    A source's partial epoch ends at one place of its permutation, so that rows are chosen where
+    they lie; texts are shuffled once, to their blocks. Documents of one hash place share its
+    fate. Null texts, sources and ids and repeated rows are used like others; long texts are not
+    cut; no rows give none.
+    """
     per_source = materialize(weights(docs, max_repetition), "weights")
     used = mix(docs, per_source, block_tokens, seed)
     partial = used.where(F.col("epoch") == F.col("whole"))
     cut = partial.groupBy(_source("source").alias("source")).agg(F.max(F.struct("key", "doc_id")).alias("cut"))
-    ends = materialize(per_source.join(cut, "source", "left").select("source", "whole", "cut"), "cuts")
+    budget = F.col("whole") + F.when(F.col("tokens") > 0, F.col("rest") / F.col("tokens")).otherwise(0.0)
+    ends = materialize(per_source.join(cut, "source", "left").select("source", "whole", "cut", budget.alias("budget")), "cuts")
+    blocks = per_source.agg(F.sum(F.col("tokens") * F.col("repetition"))).first()[0] or 0
+    blocks = max(1, math.ceil(blocks / block_tokens))
     names = docs.columns
     rows = _joined(docs.select(F.struct(*[docs[c] for c in names]).alias("row"), _source("source").alias("source"), "doc_id"), ends)
     mine = F.struct(permutation_key(seed, F.col("whole"), F.col("doc_id")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"))
     times = F.col("whole").cast("int") + F.when(mine <= F.col("cut"), 1).otherwise(0)
-    rows = rows.withColumn("time", F.explode(F.sequence(F.lit(1), times)))
-    return rows.select("row.*")
+    rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), times.cast("long") - 1)))
+    rows = rows.withColumn("key", permutation_key(seed, F.col("epoch"), F.col("doc_id")))
+    part = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32)
+    # an unfinished epoch's documents are spread over as much of the budget as it fills
+    rows = rows.withColumn("at", (F.col("epoch") + part) / F.greatest(F.col("budget"), F.lit(1.0)))
+    rows = rows.withColumn("block", F.least(F.floor(F.col("at") * blocks), F.lit(blocks - 1)).cast("long"))
+    ordered = rows.repartition("block").sortWithinPartitions("block", "at", "key", "doc_id")
+    return ordered.select("row.*")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridloom.llm.common import materialize
+from gridloom.llm.common import give_back, materialize
 
 #: Chunks between white space that a worker remembers; about 160 bytes each.
 CACHE = 1_200_000
@@ -56,6 +56,9 @@ class ChunkEncoder:
         alone = len(mark[0]) == 1 and [*mark[2], *mark[0], *mark[3]] == [*mark[1]]
         self.mark = int(mark[0][0]) if alone else None
         spec = json.loads(self.tokenizer.to_str())
+        apart = self._ids(["ab  cd\n e", "ab", "cd", "e", " ", "\t\n"])
+        if [*apart[0]] != [*apart[1], *apart[2], *apart[3]] or len(apart[4]) or len(apart[5]):
+            raise ValueError(f"{path}: tokens of white space, so chunks can't be encoded one by one")
         self.lowers = "Lowercase" in json.dumps(spec["normalizer"])
         self.parts_marks = r"[^\\s\\p{L}\\p{N}]+" in json.dumps(spec["pre_tokenizer"])
         self.clear()
@@ -163,6 +166,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
                     [pa.array(np.full(len(n), part, np.int64)), pa.array(starts), b.column(0).slice(lo, hi - lo), pa.array(n), ids],
                     names=["part", "local_start", "doc_id", "doc_tokens", "ids"],
                 )
+        give_back()
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, "part long, local_start long, doc_id long, doc_tokens long, ids binary")

@@ -120,7 +120,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
         def one(gap: Column, hit: Column) -> Column:
             near = F.right(gap, F.lit(NEAR))
-            fields = [x.alias(name) for name, x in _features(kind, loose, F.left(hit, F.lit(200)), near).items()]
+            fields = [x.alias(name) for name, x in _features(kind, loose, hit, near).items()]
             sound = F.lit(False) if loose else passes(kind, hit)
             return F.struct(
                 F.lit(n).alias("source"), F.lit(kind).alias("kind"), F.length(gap).alias("gap"), F.length(hit).alias("size_chars"),
@@ -261,7 +261,7 @@ def redact(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataFra
         gaps, hits = _matches(F.col(text_col), pattern, guard)
 
         def one(gap: Column, hit: Column) -> Column:
-            features = _features(kind, loose, F.left(hit, F.lit(200)), F.right(gap, F.lit(NEAR)))
+            features = _features(kind, loose, hit, F.right(gap, F.lit(NEAR)))
             size = F.length(_digits(hit))
             open_case = F.lit(True) if loose else (size.between(13, 19) if kind == "card" else F.lit(False))
             taken = (F.lit(False) if loose else passes(kind, hit)) | (open_case & personal(model, F.lit(kind), features))

@@ -36,8 +36,9 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), most_rows=6000)
     found = toxicity.score(docs, model)
+    offending = F.array_join(F.transform("offending", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("offending")
     predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted")
-    return found.select("doc_id", langid.held_out("doc_id", 5, 0).alias("held_out"), "score", predicted, "worst_start", "worst_end")
+    return found.select("doc_id", langid.held_out("doc_id", 5, 0).alias("held_out"), "score", predicted, "worst_start", "worst_end", offending)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

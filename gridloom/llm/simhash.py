@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridloom.llm.common import give_back, materialize, release, utf8
+from gridloom.llm.common import give_back, materialize, utf8
 from gridloom.llm.components import connected_components
 
 BITS = 64
@@ -39,17 +39,19 @@ def fingerprint(text: bytes | None, width: int = 3) -> int:
     return int(packed.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """``(doc_id, fp long)`` for every row, the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, with_text: bool = False) -> DataFrame:
+    """``(doc_id, fp long)`` for every row, the fingerprint as a signed 64-bit number, and the
+    text beside it with ``with_text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, width) for t in utf8(b.column(1))], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            more = ([b.column(1)], ["text"]) if with_text else ([], [])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), *more[0]], names=["doc_id", "fp", *more[1]])
         give_back()
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    return picked.mapInArrow(run, "doc_id long, fp long" + ", text string" * with_text)
 
 
 def half_masks(half: int) -> tuple[list[int], list[int], list[int]]:
@@ -108,36 +110,76 @@ def ball_links(nodes: DataFrame) -> DataFrame:
     return links.distinct().where(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= 3).select("a", "b")
 
 
+def grouped(fps: DataFrame) -> DataFrame:
+    """``fps(doc_id, fp)`` as ``(fp, group_fp, component_id)``, one row for each fingerprint:
+    the least fingerprint that links reach, and the smallest ``doc_id`` of all of them.
+
+    Fingerprints are the nodes, so copies cost one row each whatever the size of their group,
+    and rows of one id with different texts aren't taken for one document."""
+    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("own")), "nodes")
+    links = materialize(ball_links(nodes.select(F.col("fp").alias("node"), "fp")), "links")
+    reach = connected_components(links).select(F.col("node").alias("fp"), F.col("component").alias("group_fp"))
+    linked = nodes.join(reach, "fp")
+    least = linked.groupBy("group_fp").agg(F.min("own").alias("least"))
+    linked = linked.join(least, "group_fp").select("fp", "group_fp", "least")
+    every = nodes.join(linked, "fp", "left")
+    # a table of its own, so that a join with rows has a shuffle on either side: then the rows
+    # of a fingerprint that very many texts share are split over tasks
+    return materialize(every.select("fp", F.coalesce("group_fp", "fp").alias("group_fp"), F.coalesce("least", "own").alias("component_id")), "components")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row of ``docs``.
 
-    Equal fingerprints fold into one node first, so copies cost one row each whatever the
-    size of their group; the node's name is the smallest ``doc_id`` that has it. Null or empty
-    texts have fingerprint zero and link like any other. A row without ``doc_id`` keeps its
-    fingerprint and gets the component of the rows that share it. Repeated rows stay repeated.
+    Null or empty texts have fingerprint zero and link like any other. A row without ``doc_id``
+    keeps its fingerprint and gets the component of the rows that share it, null if none of
+    them has an id. Repeated rows stay repeated; of one id with different texts each row has
+    the component of its text.
     """
-    spark = docs.sparkSession
     fps = materialize(fingerprints(docs, id_col, text_col, width), "simhash")
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    links = materialize(ball_links(nodes.where("node is not null")), "links")
-    release(spark)
-    reach = connected_components(links)
-    named = nodes.join(reach, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    # a table of its own, so that the last join has a shuffle on either side: then the rows of
-    # a fingerprint that very many texts share are split over tasks
-    named = materialize(named, "components")
-    out = fps.join(named, "fp", "left")
+    out = fps.join(grouped(fps), "fp", "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Ids that are broadcast; beyond it they meet the documents by a shuffle.
+MOST_SENT = 1_000_000
+
+
+def _meeting(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    few = ids.limit(MOST_SENT + 1).count() <= MOST_SENT
+    return docs.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", how)
+
+
 def keep_one_per_group(docs: DataFrame, width: int = 5) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its near-duplicate group, with
-    five-word shingles by default. Rows without an id stay; of repeated rows of one id one
-    stays, whichever is read first."""
-    groups = materialize(near_duplicates(docs, width=width), "groups")
-    keep = groups.where("doc_id = component_id").groupBy("doc_id").count()
-    # always by a shuffle: the ids to keep grow with the input and are never broadcast
-    named = docs.join(keep.hint("merge"), "doc_id", "left_semi")
-    if keep.where("count > 1").limit(1).count():
-        named = named.dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.where("doc_id is null"))
+    """One row of each near-duplicate group of ``docs``, with five-word shingles by default: the
+    one of smallest ``doc_id``. Where several rows of a group have that id, the one of least
+    fingerprint and then least hash of all its columns stays; a group of other texts under the
+    same id keeps its own row. Rows without an id stay. An empty table gives none.
+
+    Only ids meet the documents, those that go: no text is shuffled while they are at most
+    ``MOST_SENT``, which is counted."""
+    named = docs.where("doc_id is not null")
+    fps = materialize(fingerprints(named, width=width), "simhash")
+    groups = materialize(fps.join(grouped(fps), "fp"), "groups")
+    ids = groups.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("component_id").alias("kept"))
+    ids = materialize(ids.where("rows > 1 or doc_id <> kept"), "ids")
+    out = _meeting(named, ids.select("doc_id"), "left_anti")
+    several = ids.where("rows > 1").select("doc_id")
+    if not several.isEmpty():
+        out = out.unionByName(_one_of_each(_meeting(named, several, "left_semi"), groups, width))
+    return out.select(docs.columns).union(docs.where("doc_id is null"))
+
+
+def _one_of_each(rows: DataFrame, groups: DataFrame, width: int) -> DataFrame:
+    """``keep_one_per_group`` for the rows of repeated ids."""
+    kinds = groups.select("doc_id", "fp", "group_fp", "component_id").distinct()
+    marked = fingerprints(rows.select("doc_id", "text"), width=width, with_text=True).distinct()
+    names = [f"`{c}`" for c in rows.columns]
+    whole = rows.withColumn("__hash", F.xxhash64(*names))
+    # the fingerprint comes back by the text's own hash, so that equal ids stay apart
+    marked = marked.select("doc_id", F.xxhash64("text").alias("__text"), F.col("fp").alias("__fp")).distinct()
+    whole = whole.withColumn("__text", F.xxhash64("text")).join(marked, ["doc_id", "__text"])
+    whole = whole.join(kinds.select("doc_id", F.col("fp").alias("__fp"), F.col("group_fp").alias("__group"), F.col("component_id").alias("__least")), ["doc_id", "__fp"])
+    best = F.row_number().over(Window.partitionBy("__group").orderBy("__fp", "__hash"))
+    kept = whole.where("doc_id = __least").withColumn("__place", best).where("__place = 1")
+    return kept.select(*names)

@@ -11,8 +11,9 @@ occurrences all have the same windows. The corpus order of suffixes then splits
 * dictionary: among distinct phrases that share a trigger, suffixes are ordered by their first
   ``width`` bytes, and of each class of equal ones only the first in the corpus stays.
 
-Windows and phrases are compared by hashes of 64 and 128 bits that mix non-linearly at each
-doubling of their length.
+Windows and phrases are compared by hashes of 128 bits, of two families, that mix non-linearly
+at each doubling of their length: with 10^14 windows the chance that any two different ones meet
+is below 10^-10.
 """
 
 from __future__ import annotations
@@ -27,12 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridloom.llm.common import materialize, release, utf8
+from gridloom.llm.common import materialize, utf8
 
 TRIGGER = 32
 CHUNK = 1 << 21
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_BYTE = np.random.default_rng(2024).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+#: A number for each byte, for either family of hashes.
+_BYTE, _BYTE_2 = (np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1) for seed in (2024, 2025))
 
 
 def _join_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -45,10 +47,11 @@ def _join_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def window_hashes(buffer: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def window_hashes(buffer: np.ndarray, width: int, byte: np.ndarray = _BYTE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the 32-byte and of the ``width``-byte string that starts at each position,
-    by doubling: 1, 2, 4 ... bytes, and the binary digits of ``width`` put together."""
-    level, size = _BYTE[buffer], 1
+    by doubling: 1, 2, 4 ... bytes, and the binary digits of ``width`` put together. ``byte``
+    names the family."""
+    level, size = byte[buffer], 1
     whole, taken, trigger = None, 0, None
     parts = {}
     while size <= width:
@@ -227,9 +230,9 @@ def merge_ranges(doc: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tup
 
 
 def window_rows(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``(hash, doc_id, run)`` for the windows of the ``wanted`` runs: one row with no number
-    of windows for the first of equal ones in a batch; the others, known to be repeated, as
-    runs with their number."""
+    """``(hash, more, doc_id, run)`` for the windows of the ``wanted`` runs, ``hash`` and ``more``
+    being the two halves of their hash: one row with no number of windows for the first of equal
+    ones in a batch; the others, known to be repeated, as runs with their number."""
     lists = wanted.groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,6 +245,7 @@ def window_rows(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 if len(buffer) < width:
                     continue
                 _, hashes = window_hashes(buffer, width)
+                _, more = window_hashes(buffer, width, _BYTE_2)
                 begin = np.cumsum([0, *map(len, texts)])
                 for k, (r, off, t) in enumerate(zip(rows, offsets, texts)):
                     own = np.array(runs[r], np.int64)
@@ -250,41 +254,56 @@ def window_rows(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                     lo, n = lo[n > 0], n[n > 0]
                     if len(n):
                         start = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-                        found.append(np.stack([hashes[start - off + begin[k]].view(np.int64), np.full(len(start), ids[r]), start]))
+                        at = start - off + begin[k]
+                        found.append(np.stack([hashes[at].view(np.int64), more[at].view(np.int64), np.full(len(start), ids[r]), start]))
             if not found:
                 continue
-            value, doc, start = np.concatenate(found, axis=1)
+            value, more, doc, start = np.concatenate(found, axis=1)
             order = np.lexsort((start, doc, value))
             again = np.zeros(len(order), bool)
-            again[order[1:]] = value[order][1:] == value[order][:-1]
-            yield pa.RecordBatch.from_pydict({"hash": value[~again], "doc_id": doc[~again], "run": start[~again] << RUN})
+            again[order[1:]] = (value[order][1:] == value[order][:-1]) & (more[order][1:] == more[order][:-1])
+            yield pa.RecordBatch.from_pydict({"hash": value[~again], "more": more[~again], "doc_id": doc[~again], "run": start[~again] << RUN})
             doc, start, windows = merge_ranges(doc[again], start[again], np.ones(int(again.sum()), np.int64))
-            yield pa.RecordBatch.from_pydict({"hash": _spread(doc), "doc_id": doc, "run": start << RUN | windows})
+            yield pa.RecordBatch.from_pydict({"hash": _spread(doc), "more": np.zeros(len(doc), np.int64), "doc_id": doc, "run": start << RUN | windows})
 
-    return packed(docs).join(lists, "doc_id").select("doc_id", "text", "runs").mapInArrow(run, "hash long, doc_id long, run long")
+    return packed(docs).join(lists, "doc_id").select("doc_id", "text", "runs").mapInArrow(run, "hash long, more long, doc_id long, run long")
+
+
+#: One document in so many is looked at for triggers that very many phrases share, and the
+#: share of the sampled phrases from which a trigger counts as one.
+LOOKED_AT, HOT = 64, 1 / 2048
+
+
+def hot_triggers(docs: DataFrame, width: int) -> list[int]:
+    """Triggers of very many different phrases, at most ``1 / HOT``: a line in ever other
+    surroundings. They are dealt out by phrase, which changes where rows go and not what comes
+    of them."""
+    some = phrases(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(LOOKED_AT)) == 0), width).where("phrase <> 0")
+    counts = materialize(some.groupBy("trigger").count(), "triggers")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    return [r["trigger"] for r in counts.where(F.col("count") >= max(64, total * HOT)).select("trigger").collect()]
 
 
 def repeated_windows(docs: DataFrame, width: int = 100) -> DataFrame:
     """``(doc_id, run)``: the runs of windows of ``docs(doc_id, text)``, ids unique, that also
     start earlier in the corpus."""
-    spark = docs.sparkSession
     rows = phrases(docs, width)
-    # one shuffle by trigger orders both the occurrences of a phrase and the dictionary
-    in_order = Window.partitionBy("trigger").orderBy("phrase", "doc_id", "run")
-    whole = Window.partitionBy("trigger")
+    hot = F.col("trigger").isin(hot_triggers(docs, width)) & (F.col("phrase") != 0)
+    # one shuffle by trigger orders both the occurrences of a phrase and the dictionary; a hot
+    # trigger's phrases go apart, and all of them count as sharing it
+    rows = rows.withColumn("hot", hot).withColumn("key", F.when(F.col("hot"), F.xxhash64("trigger", "phrase")).otherwise(F.col("trigger")))
+    in_order = Window.partitionBy("key").orderBy("trigger", "phrase", "doc_id", "run")
+    whole = Window.partitionBy("key")
     real = F.when(F.col("phrase") != 0, F.col("phrase"))
-    again = F.coalesce(F.lag("phrase").over(in_order) == F.col("phrase"), F.lit(False)) | (F.col("phrase") == 0)
-    marked = rows.withColumn("again", again).withColumn("shared", F.min(real).over(whole) != F.max(real).over(whole))
+    same = (F.lag("phrase").over(in_order) == F.col("phrase")) & (F.lag("trigger").over(in_order) == F.col("trigger"))
+    again = F.coalesce(same, F.lit(False)) | (F.col("phrase") == 0)
+    marked = rows.withColumn("again", again).withColumn("shared", F.col("hot") | (F.min(real).over(whole) != F.max(real).over(whole)))
     kept = materialize(marked.where("again or shared").select("doc_id", "run", "again"), "phrases")
-    del rows, marked
-    release(spark)
     windows = window_rows(docs, kept.where("not again").select("doc_id", "run"), width)
     known = F.col("run").bitwiseAND(F.lit((1 << RUN) - 1)) > 0
-    place = F.row_number().over(Window.partitionBy("hash").orderBy("known", "doc_id", "run"))
+    place = F.row_number().over(Window.partitionBy("hash", "more").orderBy("known", "doc_id", "run"))
     later = windows.withColumn("known", known).withColumn("place", place).where("known or place > 1")
     later = materialize(later.select("doc_id", F.when(F.col("known"), F.col("run")).otherwise(F.col("run") + 1).alias("run")), "windows")
-    del windows
-    release(spark)
     return kept.where("again").select("doc_id", "run").union(later)
 
 

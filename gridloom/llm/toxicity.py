@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -113,9 +114,10 @@ def fit_noisy_or(texts: list[str], labels: np.ndarray, most_words: int = 20_000,
 def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 6000) -> ToxicModel:
     """Fit on labelled documents outside of the held-out fifth: all, or the ``most_rows`` of
     smallest hash where there are more. The sample is gathered in one task of that bound; only
-    the weights reach the driver. Null texts and labels are left out."""
+    the weights reach the driver. Null texts and labels are left out; a document that any label
+    calls toxic is toxic; of several texts of one id the first in their order is learned from."""
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out("doc_id", 5, 0))
-    known = known.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
@@ -123,7 +125,7 @@ def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 6000) -> ToxicMod
         held = list(batches)
         if not held:
             return
-        every = pd.concat(held).drop_duplicates("doc_id").sort_values("doc_id")
+        every = pd.concat(held).sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
         model = fit_noisy_or(every["text"].tolist(), every["toxic"].to_numpy())
         yield pd.DataFrame({"word": [*model.weight, "", " "], "weight": [*model.weight.values(), model.bias, model.base]})
 
@@ -152,9 +154,10 @@ class _Weights(dict):
 
 
 def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """``(doc_id, score, worst_start, worst_end, sentences)`` for every row: the noisy-or of
-    all sentences, and the place in code points of the sentence that contributes most where
-    that reaches ``threshold`` of a sentence's probability (else null).
+    """``(doc_id, score, worst_start, worst_end, offending, sentences)`` for every row: the
+    noisy-or of all sentences; ``offending``, the places in code points and probabilities of all
+    sentences that reach ``threshold`` by themselves, in order; and the place of the one among
+    them that contributes most (else null).
 
     A null or empty text has no sentence and the score 0; without labels to learn from every
     text gets the learned share of toxic ones. Repeated rows and null ids are rows like others."""
@@ -163,6 +166,8 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         memory = _Weights(m)
+        least = math.log(threshold / (1 - threshold))
+        spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))
         for b in batches:
             out: list[tuple] = []
             for text in b.column(1).to_pylist():
@@ -170,23 +175,24 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col:
                 if len(memory) > MEMORY:
                     memory.clear()
                 if not m.weight:
-                    out.append((m.base if text else 0.0, None, None, 0))
+                    out.append((m.base if text else 0.0, None, None, [], 0))
                     continue
-                none, worst, where, at, n = 0.0, -np.inf, None, 0, 0
+                none, worst, where, n, over = 0.0, -np.inf, None, 0, []
                 for part in _spans(text):
                     n += 1
                     logit = m.bias + sum(map(memory.__getitem__, set(WORD.findall(text[slice(*part)].lower()))))
                     none -= np.log1p(np.exp(min(logit, 40.0)))  # log(1 - sigmoid)
                     if logit > worst:
                         worst, where = logit, part
-                found = where if worst >= np.log(threshold / (1 - threshold)) else (None, None)
-                out.append((float(-np.expm1(none)) if n else 0.0, *found, n))
-            kinds = (pa.float64(), pa.int64(), pa.int64(), pa.int64())
+                    if logit >= least:
+                        over.append({"start": part[0], "end": part[1], "probability": 1 / (1 + math.exp(-min(logit, 40.0)))})
+                out.append((float(-np.expm1(none)) if n else 0.0, *(where if over else (None, None)), over, n))
+            kinds = (pa.float64(), pa.int64(), pa.int64(), spans, pa.int64())
             cols = [pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "score", "worst_start", "worst_end", "sentences"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "score", "worst_start", "worst_end", "offending", "sentences"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, score double, worst_start long, worst_end long, sentences long")
+    return picked.mapInArrow(run, "doc_id long, score double, worst_start long, worst_end long, offending array<struct<start:bigint,end:bigint,probability:double>>, sentences long")
 
 
 def _spans(text: str) -> Iterator[tuple[int, int]]:

@@ -75,6 +75,27 @@ def test_documents(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_equal_ids_with_different_texts(spark):
+    base, other = (" ".join(f"{c}{i}" for i in range(300)) for c in "vw")
+    rows = [(5, base, "a", 1), (5, other, "b", 2), (9, base + " tail", None, 3), (8, other, None, None), (5, base, "c", 4), (5, base, "c", 4), (6, "alone here", None, 5), (None, base, None, 6)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    kept = keep_one_per_group(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(5, base), (5, other), (6, "alone here"), (0, base)])
+    assert {tuple(r) for r in keep_one_per_group(docs.repartition(1)).collect()} == {tuple(r) for r in kept}
+    got = near_duplicates(docs).collect()
+    assert {r["component_id"] for r in got} == {5, 6} and len(got) == len(rows)
+
+
+def test_ids_by_a_shuffle(spark, monkeypatch):
+    from gridloom.llm import simhash
+
+    base = " ".join(f"w{i}" for i in range(300))
+    docs = spark.createDataFrame([(i, base if i % 2 else f"{i} own text {i} words", None, None) for i in range(20)], SCHEMA)
+    want = {tuple(r) for r in keep_one_per_group(docs).collect()}
+    monkeypatch.setattr(simhash, "MOST_SENT", 0)
+    assert {tuple(r) for r in keep_one_per_group(docs).collect()} == want and len(want) == 11
+
+
 def test_components_of_a_long_chain(spark):
     from gridloom.llm.components import connected_components
 

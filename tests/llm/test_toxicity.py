@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import types as T
@@ -50,6 +51,25 @@ def test_scores_equal_plain_noisy_or(spark):
         assert abs(r["score"] - (1 - none)) < 1e-9 and r["sentences"] == len(X.sentences(t))
 
 
+def test_all_offending_sentences(spark):
+    model = X.ToxicModel({"bad": 5.0, "mild": 2.0}, -3.0, 0.1)
+    text = "Bad one. A fine one. Mild one!\nbad bad two"
+    r = X.score(spark.createDataFrame([(1, text, None, None)], SCHEMA), model).first()
+    assert [text[s["start"] : s["end"]] for s in r["offending"]] == ["Bad one.", "bad bad two"]
+    assert all(s["probability"] > 0.5 for s in r["offending"])
+
+
+def test_conflicting_labels_are_toxic(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(X, "fit_noisy_or", lambda texts, labels: X.ToxicModel({t: float(v) for t, v in zip(texts, labels)}, 0.0, 0.5))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:2]
+    docs = spark.createDataFrame([(ids[0], "b", None, None), (ids[0], "a", None, None), (ids[1], "c", None, None)], SCHEMA)
+    for order in (1, -1):
+        labels = [(ids[0], 0), (ids[0], 1), (ids[1], 0)][::order]
+        seen[order] = X.learn(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int")).weight
+    assert seen[1] == seen[-1] == {"a": 1.0, "c": 0.0}
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, None, None), (2, "", None, None), (None, "bad", None, None), (3, "bad " * 50_000, None, None), (3, "bad", None, None)], SCHEMA)
     none = X.learn(docs, spark.createDataFrame([], "doc_id bigint, toxic int"))
