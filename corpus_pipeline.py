@@ -34,13 +34,14 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's weight asks for, at least once and at most
-    twice."""
+    twice, in blocks that hold the sources in their weights."""
     return mixing.repeat_documents(docs, max_repetition=2.0, block_tokens=250_000, seed=42)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 4096 ids."""
-    return pack(docs, tokenizer_path(), length=4096, end_id=2)
+    """The pieces of all documents, with their ids, in sequences of 4096, in the order in which
+    the documents are read: the mixture's blocks follow each other."""
+    return pack(docs, tokenizer_path(), length=4096, end_id=2, with_ids=True)
 
 
 STAGES = [
