@@ -7,13 +7,15 @@ where something covers.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.crs import to_metres
 from gridloom.functions.lattice import cells_touching, div, guard, source_window
 from gridloom.functions.units import decode
-from gridloom.spec import GRID, NODATA, GridSpec, PropertySpec, SpecError
+from gridloom.spec import BLOCKS, GRID, NODATA, GridSpec, PropertySpec, SpecError
 
 PIXEL = ["property", "depth_idx", "y", "x"]
 
@@ -122,8 +124,8 @@ def gap_fill(expanded: DataFrame, covered: DataFrame) -> DataFrame:
     return gaps.groupBy(*PIXEL).agg(first).select(*PIXEL, "first.source", "first.value")
 
 
-def fill_counts(filled: DataFrame) -> DataFrame:
-    return filled.groupBy("property", "depth_idx", "source").agg(F.count("*").alias("pixels_filled"))
+def fill_counts(filled: DataFrame, *cell: str) -> DataFrame:
+    return filled.groupBy("property", "depth_idx", "source", *cell).agg(F.count("*").alias("pixels_filled"))
 
 
 def assemble(fine: DataFrame, filled: DataFrame) -> DataFrame:
@@ -170,14 +172,23 @@ def cells_in_bbox(spark, west: float, south: float, east: float, north: float, s
 
 
 def to_blocks(pixels: DataFrame, group: str, size: int, height: int, width: int) -> DataFrame:
-    """Storage form: one dense payload per non-empty block of ``size`` pixels a side."""
+    """Storage form: one dense payload per non-empty block of ``size`` pixels a side. A block's
+    pixels, at most ``size`` squared, are scattered into it in one pass."""
     keys = ["property", "factor", "depth_idx", "by", "bx"]
-    rows = pixels.withColumn("by", div(F.col("y"), size).cast("int")).withColumn("bx", div(F.col("x"), size).cast("int"))
-    rows = rows.withColumn("h", F.least(F.lit(size), F.lit(height) - F.col("by") * size)).withColumn("w", F.least(F.lit(size), F.lit(width) - F.col("bx") * size))
-    place_in = (F.col("y") - F.col("by") * size) * F.col("w") + (F.col("x") - F.col("bx") * size)
-    held = rows.groupBy(*keys, "h", "w").agg(F.map_from_entries(F.collect_list(F.struct(place_in.cast("int"), "value"))).alias("held"), F.count("*").cast("int").alias("n_valid"))
-    every = F.transform(F.sequence(F.lit(0), (F.col("h") * F.col("w") - 1).cast("int")), lambda i: F.coalesce(F.try_element_at("held", i), F.lit(float("nan")).cast("float")))
-    return held.where("n_valid > 0").select(F.lit(group).alias("group"), *keys, "h", "w", "n_valid", every.alias("payload"))
+    casts = {"property": "string", "factor": "int", "depth_idx": "smallint", "y": "int", "x": "int", "value": "float"}
+    rows = pixels.select(*[F.col(c).cast(t) for c, t in casts.items()])
+    rows = rows.withColumn("by", div(F.col("y"), size).cast("int")).withColumn("bx", div(F.col("x"), size).cast("int"))
+
+    def dense(held: pa.Table) -> pa.Table:
+        by, bx = held["by"][0].as_py(), held["bx"][0].as_py()
+        h, w = min(size, height - by * size), min(size, width - bx * size)
+        payload = np.full(h * w, np.nan, np.float32)
+        payload[(held["y"].to_numpy() - by * size) * w + held["x"].to_numpy() - bx * size] = held["value"].to_numpy()
+        first = held.slice(0, 1).select(keys)
+        more = {"h": pa.array([h], pa.int32()), "w": pa.array([w], pa.int32()), "n_valid": pa.array([len(held)], pa.int32()), "payload": pa.array([payload])}
+        return pa.table({"group": pa.array([group]), **{k: first[k] for k in keys}, **more})
+
+    return rows.groupBy(*keys).applyInArrow(dense, BLOCKS)
 
 
 def from_blocks(blocks: DataFrame, size: int) -> DataFrame:

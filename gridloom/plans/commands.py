@@ -131,9 +131,13 @@ def materialize(
 ) -> dict[str, int]:
     """Write a property's cells from decoded tiles (paths, header, values, error), in
     batches of ``commit_every`` cells, each one plan and one commit. Cells in the ledger are
-    left alone unless ``overwrite``; a batch is one file set under its own key, so a killed run
-    loses at most a batch and a resumed one repeats nothing."""
+    left alone unless ``overwrite``; a batch is one file set with a key for each cell, so a
+    killed run loses at most a batch, a resumed one repeats nothing, and a cell that is written
+    again takes the place of what it held, in the pixels as in the fills. A batch's tiles are
+    decoded once."""
     spark = store.spark
+    if grid.cell_px % encoding.shard:
+        raise spec.SpecError("a cell isn't whole shards")
     own = place.depth_index(manifest.where(F.col("property") == prop.name), prop)
     everywhere = place.touched_cells(own, grid).select("cell_row", "cell_col").distinct()
     wanted = everywhere.withColumn("property", F.lit(prop.name))
@@ -149,23 +153,30 @@ def materialize(
         some = spark.createDataFrame(batch, "cell_row int, cell_col int")
         rows = place.touched_cells(own.drop("cell_row", "cell_col"), grid).join(F.broadcast(some), ["cell_row", "cell_col"], "left_semi")
         rows = rows.drop("cell_row", "cell_col").distinct()
+        names = place.tile_keys(tiles)
+        read = tiles.join(rows.select(*names).distinct(), names, "left_semi").persist()
         fine_rows, coarse_rows = rows.where("not resampled_in_vrt"), rows.where("resampled_in_vrt")
-        fine = place.overwrite(place.place(place.check_tiles(tiles, fine_rows, grid), prop.divisor))
-        coarse = place.resolve_coarse(coarse_rows.join(tiles, place.tile_keys(tiles)), grid)
+        fine = place.overwrite(place.place(place.check_tiles(read, fine_rows, grid), prop.divisor))
+        coarse = place.resolve_coarse(coarse_rows.join(read, names), grid)
         coarse = coarse.withColumn("value", place.decode(F.col("raw"), prop.divisor))
         filled = place.gap_fill(place.expand_coarse(coarse, grid), place.covered_pixels(fine_rows))
-        pixels = place.assemble(fine, filled)
-        key = lambda c: div(F.col(c), grid.cell_px)
-        pixels = pixels.withColumn("cell_row", key("y")).withColumn("cell_col", key("x")).join(F.broadcast(some), ["cell_row", "cell_col"], "left_semi")
+        in_cell = lambda df, px: df.withColumn("cell_row", div(F.col("y"), px).cast("int")).withColumn("cell_col", div(F.col("x"), px).cast("int"))
+        filled = in_cell(filled, grid.cell_px).join(F.broadcast(some), ["cell_row", "cell_col"], "left_semi").persist()
+        pixels = in_cell(place.assemble(fine, filled), grid.cell_px).join(F.broadcast(some), ["cell_row", "cell_col"], "left_semi")
         pixels = pixels.drop("cell_row", "cell_col").withColumn("factor", F.lit(1))
         blocks = place.to_blocks(pixels, prop.group, encoding.shard, grid.height, grid.width)
+        shards = grid.cell_px // encoding.shard
+        blocks = blocks.withColumn("cell_row", div(F.col("by"), shards).cast("int")).withColumn("cell_col", div(F.col("bx"), shards).cast("int"))
         session = store.writable()
-        name = f"blocks/{prop.name}/1/{batch[0][0]:03d}-{batch[0][1]:03d}"
-        session.write(name, blocks.repartition("by", "bx").sortWithinPartitions("depth_idx", "by", "bx"))
+        keys = {(r, c): f"blocks/{prop.name}/1/{r:03d}-{c:03d}" for r, c in batch}
+        session.write_each(keys, blocks.repartition("cell_row", "cell_col").sortWithinPartitions("cell_row", "cell_col", "depth_idx", "by", "bx"), ["cell_row", "cell_col"])
         session.record("cells", [(prop.name, r, c) for r, c in batch])
-        counts = place.fill_counts(filled).collect()
-        session.record("fills", [(prop.name, r["source"], prop.depths[r["depth_idx"]].label, *batch[0], r["pixels_filled"]) for r in counts])
-        stats["anomalies"] += place.anomalies(rows.join(tiles, place.tile_keys(tiles))).count()
+        counts = place.fill_counts(filled, "cell_row", "cell_col").collect()
+        session.replace("fills", [0, 3, 4], [(prop.name, r, c) for r, c in batch])
+        session.record("fills", [(prop.name, r["source"], prop.depths[r["depth_idx"]].label, r["cell_row"], r["cell_col"], r["pixels_filled"]) for r in counts])
+        stats["anomalies"] += place.anomalies(rows.join(read, names)).count()
+        read.unpersist()
+        filled.unpersist()
         stats["filled"] += sum(r["pixels_filled"] for r in counts)
         stats["cells"] += len(batch)
         if checkpoint:
@@ -177,13 +188,10 @@ def materialize(
 def pixels_of(store: SnapshotStore, prop: PropertySpec, encoding: EncodingSpec, factor: int = 1, ref: int | str | None = None) -> DataFrame:
     """The stored pixels of a property at a level, as of a snapshot; none is an empty table."""
     prefix = f"blocks/{prop.name}/{factor}/"
-    tables = [store.read(k, ref) for k in store.keys(ref) if k.startswith(prefix)]
-    if not tables:
+    folders = [f for k, f in sorted(store.folders(ref).items()) if k.startswith(prefix)]
+    if not folders:
         return store.spark.createDataFrame([], spec.PIXELS)
-    whole = tables[0]
-    for t in tables[1:]:
-        whole = whole.unionByName(t)
-    return place.from_blocks(whole, encoding.shard)
+    return place.from_blocks(store.spark.read.schema(spec.BLOCKS).parquet(*folders), encoding.shard)
 
 
 def build_overviews(store: SnapshotStore, prop: PropertySpec, grid: GridSpec, encoding: EncodingSpec, factors: tuple[int, ...], rebuild: bool = False, partial: bool = False) -> int:

@@ -1,3 +1,4 @@
+import os
 import time
 
 import numpy as np
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom import spec
 from gridloom.plans import commands as C
-from gridloom.plans.store import ConcurrentWriter, EncodingMismatch, SnapshotStore, StoreError, retried
+from gridloom.plans.store import LEDGER_FILLS, ConcurrentWriter, EncodingMismatch, SnapshotStore, StoreError, retried
 from gridloom.sources import tiff
 from gridloom.spec import DEPTHS, GRID, EncodingSpec, GridSpec, PropertySpec
 from gridloom.streaming.ingest import ingest_manifests
@@ -113,6 +114,38 @@ def test_whole_run(spark, world):
     assert C.status(store, manifest).first()["state"] == "complete"
 
 
+def test_written_again(spark, world, tmp_path):
+    """A cell that is written again takes the place of what it held, also by other batches."""
+    _, manifest, tiles = world
+    store = SnapshotStore.open(spark, str(tmp_path), create=True)
+    C.materialize(store, CLAY, manifest, tiles, SMALL, ENC, commit_every=4)
+    fills = sorted(map(tuple, store.ledger("fills", LEDGER_FILLS).collect()))
+    for cells, every in (([(0, 1)], 16), ([(1, 0), (1, 1)], 1), (None, 3)):
+        C.materialize(store, CLAY, manifest, tiles, SMALL, ENC, cells=cells, commit_every=every, overwrite=True)
+        px = C.pixels_of(store, CLAY, ENC)
+        assert px.count() == px.select("depth_idx", "y", "x").distinct().count() == sum(int((~np.isnan(expected(d))).sum()) for d in (0, 1))
+        assert sorted(map(tuple, store.ledger("fills", LEDGER_FILLS).collect())) == fills and fills
+    # a cell whose tiles are gone holds nothing afterwards, as of now only
+    before = store.head()
+    none = tiles.withColumn("error", F.lit("gone")).withColumn("values", F.lit(None).cast(tiles.schema["values"].dataType))
+    C.materialize(store, CLAY, manifest, none, SMALL, ENC, overwrite=True)
+    assert C.pixels_of(store, CLAY, ENC).count() == 0 and C.pixels_of(store, CLAY, ENC, ref=before).count() > 0
+    store.collect_garbage(time.time() + 60)  # folders of batches without a block
+    assert C.pixels_of(store, CLAY, ENC, ref=before).count() > 0
+
+
+def test_snapshots_appear_whole(spark, tmp_path):
+    store = SnapshotStore.open(spark, str(tmp_path), create=True)
+    name = store.snapshot_path(2)
+    claim = tmp_path / "snapshots" / f".claim-{name.rsplit('/', 1)[1]}"
+    claim.write_text("")  # a writer at work: nobody else's file appears, and readers see none
+    assert not store.files.create(name, "{}") and store.head() == 1
+    os.utime(claim, (0, 0))  # it has died
+    assert store.files.create(name, '{"parent": 1, "message": "x", "written_at": 0}') and store.head() == 2
+    assert not store.files.create(name, "other") and store.snapshot(2).message == "x"
+    assert [p.name for p in (tmp_path / "snapshots").iterdir() if p.name.startswith((".claim", ".draft"))] == []
+
+
 def test_failed_tile_stays_empty_and_is_reported(spark, world, tmp_path):
     _, manifest, tiles = world
     bad = tiles.withColumn("error", F.when(F.col("relpath") == "0_5/t00.tif", "gone")).withColumn("values", F.when(F.col("error").isNull(), F.col("values")))

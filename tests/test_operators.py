@@ -1,5 +1,7 @@
 import numpy as np
 import pytest
+
+from gridloom.spec import BLOCKS as spec_blocks
 from pyspark.sql import functions as F
 
 from gridloom.operators import checks, inventory, ledger, place, read
@@ -110,6 +112,7 @@ def test_blocks_round_trip(spark):
     a = coastline(37)
     df = pixels(spark, a).where("not isnan(value)").withColumn("factor", F.lit(1))
     blocks = place.to_blocks(df, "g", 10, 37, 37)
+    assert [f.name for f in blocks.schema.fields] == [f.name for f in spec_blocks.fields]
     assert blocks.where("n_valid = 0").count() == 0 and {r["w"] for r in blocks.collect()} == {10, 7}
     assert np.array_equal(dense(place.from_blocks(blocks, 10), 37, 37), a, equal_nan=True)
 

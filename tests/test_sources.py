@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridloom.sources import tiff
 from gridloom.sources.inventory import parse_listing, parse_mosaic
-from gridloom.sources.remote import TRANSIENT, Fetcher, FetchError, RateLimiter, SourceChanged, fetch_column, read_urls
+from gridloom.sources.remote import PASSING, Drifted, Pace, Unreadable, Wanted, fetch_column, pauses, read, read_urls
 
 
 def field(h, w):
@@ -89,33 +89,34 @@ def opener(*answers):
     return send
 
 
-@pytest.mark.parametrize("first", [*sorted(TRANSIENT), urllib.error.URLError("down"), ConnectionResetError()])
+@pytest.mark.parametrize("first", [*sorted(PASSING), urllib.error.URLError("down"), ConnectionResetError()])
 def test_transient_failures_are_retried(first):
-    pauses = []
-    got = Fetcher(opener=opener(first, Reply(b"ok", {})), sleep=pauses.append).get("http://h/x")
-    assert got == b"ok" and len(pauses) == 1 and 1 <= pauses[0] <= 3
+    waited = []
+    got = read(Wanted("http://h/x"), opener(first, Reply(b"ok", {})), sleep=waited.append).body
+    assert got == b"ok" and len(waited) == 1 and 1 <= waited[0] <= 3
 
 
 def test_permanent_failures_and_drift():
     once = opener(404, Reply(b"", {}))
-    with pytest.raises(FetchError, match="404"):
-        Fetcher(opener=once, sleep=lambda s: None).get("http://h/x")
+    with pytest.raises(Unreadable, match="404"):
+        read(Wanted("http://h/x"), once, sleep=lambda s: None)
     assert len(once.left) == 1
-    with pytest.raises(FetchError, match="6 attempts"):
-        Fetcher(opener=opener(*[503] * 6), sleep=lambda s: None).get("http://h/x")
-    for kind in ({"expect_etag": "b"}, {"expect_size": 3}):
-        with pytest.raises(SourceChanged):
-            Fetcher(opener=opener(Reply(b"xx", {"ETag": "a"}))).get("http://h/x", **kind)
-    info = Fetcher(opener=opener(Reply(b"", {"ETag": "a"}))).head("http://h/x")
+    with pytest.raises(Unreadable, match="6 tries"):
+        read(Wanted("http://h/x"), opener(*[503] * 6), sleep=lambda s: None)
+    for kind in ({"etag": "b"}, {"size": 3}):
+        with pytest.raises(Drifted):
+            read(Wanted("http://h/x", **kind), opener(Reply(b"xx", {"ETag": "a"})))
+    info = read(Wanted("http://h/x", bare=True), opener(Reply(b"", {"ETag": "a"})))
     assert (info.size, info.etag, info.modified) == (-1, "a", None)
+    assert len(list(pauses())) == 5
 
 
 def test_rate_limit():
-    now, pauses = [0.0], []
-    limit = RateLimiter(2.0, clock=lambda: now[0], sleep=lambda s: (pauses.append(s), now.__setitem__(0, now[0] + s)))
+    now, waited = [0.0], []
+    pace = Pace(0.5, clock=lambda: now[0], sleep=lambda s: (waited.append(s), now.__setitem__(0, now[0] + s)))
     for _ in range(3):
-        limit.wait()
-    assert pauses == [0.5, 0.5]
+        pace.keep()
+    assert waited == [0.5, 0.5]
 
 
 def test_url_source(spark, tmp_path):
@@ -128,6 +129,10 @@ def test_url_source(spark, tmp_path):
     assert [r["url"] for r in rows] == urls and bytes(rows[4]["content"]) == b"abcde" and rows[5]["content"] is None and rows[5]["error"]
     table = spark.createDataFrame(list(enumerate(urls[:2])), "ordinal long, url string")
     assert {bytes(r["content"]) for r in fetch_column(table, "url", 2, first_bytes=1).collect()} == {b"a"}
+    sized = spark.createDataFrame([(urls[0], 1), (urls[1], 2), (urls[5], 3)], "url string, size int")
+    assert [r["error"] is None for r in fetch_column(sized, "url", 1, size_col="size").collect()] == [True, True, False]
+    with pytest.raises(Exception, match="Drifted"):
+        fetch_column(sized.withColumn("size", F.lit(7)), "url", 1, size_col="size").collect()
 
 
 def test_listing(spark):
