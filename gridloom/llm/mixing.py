@@ -118,7 +118,8 @@ def mix(docs: DataFrame, per_source: DataFrame, block_tokens: int = 250_000, see
 
     An epoch of a source is a permutation of its documents by hash, cut into blocks of about
     ``block_tokens``; block totals are summed over blocks and documents within their block, so
-    a hot source spreads over its blocks. All documents are in the whole epochs; in the last,
+    a hot source spreads over its blocks. Rows of one id and size are one row with a count until
+    they are placed, so that an id with any share of the rows is no hot block. All documents are in the whole epochs; in the last,
     partial one they are used in order as long as they fit its rest. ``before_tokens`` is the
     source's tokens used earlier: ordering everything by ``before_tokens / budget_tokens``
     interleaves the sources in their weights from beginning to end. Null sources are a source,
@@ -137,12 +138,16 @@ def mix(docs: DataFrame, per_source: DataFrame, block_tokens: int = 250_000, see
     keys = ["source", "epoch", "block"]
     totals = rows.groupBy(*keys).agg(F.sum("size").alias("held"))
     bases = _block_bases(totals)
-    inner = Window.partitionBy(*keys).orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    # texts without tokens in a source without any are all in one block and stand at its start
+    # texts without tokens in a source without any stand at its start, wherever they lie
     nothing = (F.col("tokens") == 0) & (F.col("size") == 0)
-    inside = rows.where(~nothing).withColumn("inner", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    placed = inside.unionByName(rows.where(nothing).withColumn("inner", F.lit(0).cast("long"))).join(bases, keys)
-    before = F.col("base") + F.col("inner")
+    start = rows.where(nothing).withColumn("before", F.lit(0).cast("long"))
+    # rows of one id and size are interchangeable: counted before they are shuffled
+    alike = rows.where(~nothing).groupBy(*keys, "key", "doc_id", "size", "tokens", "whole", "rest").agg(F.count("*").alias("copies"))
+    inner = Window.partitionBy(*keys).orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    alike = alike.withColumn("inner", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inner), F.lit(0))).join(bases, keys)
+    columns = ["doc_id", *keys, "key", "size", "tokens", "whole", "rest", "before"]
+    placed = _each_copy(alike.withColumn("before", F.col("base") + F.col("inner"))).select(*columns).unionByName(start.select(*columns))
+    before = F.col("before")
     used = placed.where((F.col("epoch") < F.col("whole")) | (before + F.col("size") <= F.col("rest")))
     return used.select(
         "doc_id",
@@ -157,6 +162,21 @@ def mix(docs: DataFrame, per_source: DataFrame, block_tokens: int = 250_000, see
     )
 
 
+#: Copies of one row that a task writes out at a time.
+COPIES = 65_536
+
+
+def _each_copy(rows: DataFrame) -> DataFrame:
+    """A row for each of ``copies``, one after the other from ``before`` on; of more than
+    ``COPIES`` every stretch is a row of its own, dealt out before it is written out."""
+    few = rows.where(F.col("copies") <= COPIES).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    first = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))
+    many = rows.where(F.col("copies") > COPIES).withColumn("first", F.explode(first)).repartition("key", "first")
+    last = F.least(F.col("first") + COPIES, F.col("copies")) - 1
+    many = many.withColumn("copy", F.explode(F.sequence(F.col("first"), last))).drop("first")
+    return few.unionByName(many).withColumn("before", F.col("before") + F.col("copy") * F.col("size"))
+
+
 #: Blocks that one running sum goes over.
 STRETCH = 4096
 

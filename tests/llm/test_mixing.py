@@ -126,3 +126,15 @@ def test_bases_over_stretches(spark, monkeypatch):
     few = {tuple(r) for r in mixing.mix(docs, per_source, block_tokens=300).collect()}
     monkeypatch.undo()
     assert few == {tuple(r) for r in mixing.mix(docs, per_source, block_tokens=300).collect()}
+
+
+def test_hot_ids(spark, tmp_path, monkeypatch):
+    """A third of the rows with one id, as many without any: the rows of the SQL, over stretches."""
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    rows = [(5 if i % 3 == 0 else None if i % 3 == 1 else i, "x" * (40 if i % 3 < 2 else i % 90), "a" if i % 4 else "b") for i in range(900)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(str, (tuple(r) for r in op4_mixing(spark, str(tmp_path)).collect())))
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(map(str, con.sql(oracle_sql()["op4_mixing"]).fetchall()))
+    assert len(got) >= 900
