@@ -20,11 +20,12 @@ from gridloom.spec import BLOCKS, GRID, NODATA, GridSpec, PropertySpec, SpecErro
 PIXEL = ["property", "depth_idx", "y", "x"]
 
 
-def by_cell(manifest: DataFrame, prop: str) -> DataFrame:
-    """A property's tiles by cell, in key order."""
+def by_cell(manifest: DataFrame, prop: str | None = None) -> DataFrame:
+    """Each property's, or one property's, tiles by cell: their number, and their rows in
+    manifest order. A cell of a property has at most its sub-tiles at its depths."""
     tiles = F.sort_array(F.collect_list(F.struct("ordinal", "depth", "relpath")))
-    rows = manifest.where(F.col("property") == prop).groupBy("cell_row", "cell_col").agg(F.count("*").alias("tiles"), tiles.alias("rows"))
-    return rows.orderBy("cell_row", "cell_col")
+    own = manifest if prop is None else manifest.where(F.col("property") == prop)
+    return own.groupBy("property", "cell_row", "cell_col").agg(F.count("*").alias("tiles"), tiles.alias("rows"))
 
 
 def depth_index(rows: DataFrame, spec: PropertySpec, label: str = "depth") -> DataFrame:

@@ -7,6 +7,7 @@ nodata), tiles over ``part``, coarse sources over ``supplier``, ledgers over ``e
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from uuid import uuid4
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from gridloom import spec
 from gridloom.functions import lattice as L
 from gridloom.functions import metadata, units
-from gridloom.functions.crs import to_metres
+from gridloom.functions.crs import RADIUS, to_metres
 from gridloom.operators import checks, inventory, ledger, place, read
 from gridloom.operators.pyramid import plan_counts, pyramid, regions
 from gridloom.plans.store import SnapshotStore
@@ -268,16 +269,29 @@ def f20(spark, sf):
     return _table(spark, sf, "part").select("p_partkey", units.normalise_transformation(v).alias("transformation"))
 
 
+def _centre_sql(lon: str, lat: str) -> str:
+    south = f"CASE WHEN {lon} < -100 THEN -160.0 WHEN {lon} < -20 THEN -60.0 WHEN {lon} < 80 THEN 20.0 ELSE 140.0 END"
+    return f"CASE WHEN {lat} >= 0 THEN CASE WHEN {lon} < -40 THEN -100.0 ELSE 30.0 END ELSE {south} END"
+
+
 @query(
     "f21_projection",
-    """WITH p AS (SELECT s_suppkey, (s_suppkey * 37 % 3600) / 10.0 - 180.0 AS lon, (s_suppkey * 13 % 800) / 10.0 - 40.0 AS lat FROM supplier),
-    c AS (SELECT *, CASE WHEN lat >= 0 THEN CASE WHEN lon < -40 THEN -100.0 ELSE 30.0 END WHEN lon < -100 THEN -160.0 WHEN lon < -20 THEN -60.0 WHEN lon < 80 THEN 20.0 ELSE 140.0 END AS l0 FROM p)
-    SELECT s_suppkey, round(6378137.0 * (radians(lon - l0) * cos(radians(lat)) + radians(l0)))::BIGINT AS mx, round(6378137.0 * radians(lat))::BIGINT AS my FROM c""",
+    f"""WITH RECURSIVE p AS (SELECT c_custkey, ((c_custkey * 37 % 3600) / 10.0 - 180.0)::DOUBLE AS lon, ((c_custkey * 13 % 1781) / 10.0 - 89.0)::DOUBLE AS lat FROM customer),
+    c AS (SELECT *, ({_centre_sql("lon", "lat")})::DOUBLE AS l0 FROM p),
+    newton AS (
+      SELECT c_custkey, 0 AS step, 2 * radians(lat) AS t, pi() * sin(radians(lat)) AS goal FROM c
+      UNION ALL SELECT c_custkey, step + 1, t - (t + sin(t) - goal) / greatest(1 + cos(t), 1e-9), goal FROM newton WHERE step < 40
+    ),
+    m AS (SELECT c.*, t / 2 AS theta, abs(lat) <= 40 + 44 / 60.0::DOUBLE + 11.8 / 3600.0::DOUBLE AS flat FROM c JOIN newton USING (c_custkey) WHERE step = 40)
+    SELECT c_custkey,
+      round(6378137.0 * (radians(lon - l0) * CASE WHEN flat THEN cos(radians(lat)) ELSE 2 * sqrt(2) / pi() * cos(theta) END + radians(l0)))::BIGINT AS mx,
+      round(6378137.0 * CASE WHEN flat THEN radians(lat) ELSE sqrt(2) * sin(theta) + sign(lat) * -0.0528035274542 END)::BIGINT AS my FROM m""",
 )
 def f21(spark, sf):
-    k = F.col("s_suppkey")
-    x, y = to_metres((k * 37 % 3600) / 10.0 - 180.0, (k * 13 % 800) / 10.0 - 40.0)
-    return _table(spark, sf, "supplier").select("s_suppkey", F.round(x).cast("long").alias("mx"), F.round(y).cast("long").alias("my"))
+    """All latitudes up to 89 degrees: both projections and all six lobes."""
+    k = F.col("c_custkey")
+    x, y = to_metres((k * 37 % 3600) / 10.0 - 180.0, (k * 13 % 1781) / 10.0 - 89.0)
+    return _table(spark, sf, "customer").select("c_custkey", F.round(x).cast("long").alias("mx"), F.round(y).cast("long").alias("my"))
 
 
 @query(
@@ -333,9 +347,56 @@ def s12(spark, sf):
 # ---------------------------------------------------------------- placement
 
 
-@query("p01_group_by_cell", f"WITH {TILES} SELECT property, cell_row, cell_col, count(*) AS tiles FROM tiles GROUP BY ALL")
+@query(
+    "p01_group_by_cell",
+    f"WITH {TILES} SELECT property, cell_row, cell_col, count(*) AS tiles, arg_min(relpath, ordinal) AS first_tile, sum(ordinal)::BIGINT AS ordinals FROM tiles GROUP BY ALL",
+)
 def p01(spark, sf):
-    return tiles(spark, sf).groupBy("property", "cell_row", "cell_col").agg(F.count("*").alias("tiles"))
+    out = place.by_cell(tiles(spark, sf))
+    ordinals = F.aggregate("rows", F.lit(0).cast("long"), lambda n, r: n + r["ordinal"])
+    return out.select("property", "cell_row", "cell_col", "tiles", F.col("rows")[0]["relpath"].alias("first_tile"), ordinals.alias("ordinals"))
+
+
+def _small_tiles(spark, sf, pixel: float = GRID.pixel):
+    """Manifest rows and read tiles, two pixels by three, side by side over part."""
+    k = F.col("p_partkey")
+    grid = F.sequence(F.lit(0), F.lit(5))
+    header = F.struct(
+        (F.lit(GRID.x_min) + k % 80 * 500).alias("tie_x"), (F.lit(GRID.y_max) - L.div(k, 80) * 750).alias("tie_y"), F.lit(pixel).alias("px"), F.lit(pixel).alias("py"),
+        F.lit(2).alias("width"), F.lit(3).alias("height"), F.lit(spec.NODATA).alias("nodata"),
+    )
+    p = _table(spark, sf, "part").select(F.lit("clay").alias("property"), F.lit("0_5").alias("depth"), F.concat(F.lit("t"), k).alias("relpath"), "p_partkey", "p_size")
+    raw = F.transform(grid, lambda i: F.when((k + i) % 5 == 0, spec.NODATA).otherwise((k * 31 + i * 7) % 900).cast("smallint"))
+    failed = F.col("p_size") == 50
+    read_tiles = p.select("property", "depth", "relpath", header.alias("header"), F.when(~failed, raw).alias("values"), F.when(failed, "no answer").alias("error"))
+    place_of = [(k % 80 * 2).cast("int").alias("x_off"), (L.div(k, 80) * 3).cast("int").alias("y_off")]
+    rows = p.select("property", "depth", "relpath", k.alias("ordinal"), F.lit(2).alias("width"), F.lit(3).alias("height"), *place_of, F.lit(pixel > GRID.pixel).alias("resampled_in_vrt"))
+    return place.depth_index(rows, spec.PROPERTIES["clay"]), read_tiles
+
+
+SMALL = "SELECT p_partkey AS k, p_size, i FROM part, range(6) AS r(i) WHERE p_size <> 50"
+
+
+@query(
+    "p03_place_tiles",
+    f"""SELECT (k // 80 * 3 + i // 2)::INT AS y, (k % 80 * 2 + i % 2)::INT AS x, k AS ordinal,
+      CASE WHEN (k + i) % 5 = 0 THEN -1::FLOAT ELSE CAST(CAST((k * 31 + i * 7) % 900 AS DOUBLE) / 10 AS FLOAT) END AS value FROM ({SMALL})""",
+)
+def p03(spark, sf):
+    rows, read_tiles = _small_tiles(spark, sf)
+    out = place.place(place.check_tiles(read_tiles, rows), 10)
+    return out.select("y", "x", "ordinal", F.nanvl("value", F.lit(-1.0).cast("float")).cast("float").alias("value"))
+
+
+@query(
+    "p06_resolve_coarse",
+    f"""SELECT 't' || k AS source, k AS rank, (k % 80 * 2)::INT AS x_off, (k // 80 * 3)::INT AS y_off, 2::BIGINT AS rx, 2::BIGINT AS ry, (i // 2)::BIGINT AS sy, (i % 2)::BIGINT AS sx,
+      (CASE WHEN (k + i) % 5 = 0 THEN -32768 ELSE (k * 31 + i * 7) % 900 END)::INT AS raw FROM ({SMALL})""",
+)
+def p06r(spark, sf):
+    rows, read_tiles = _small_tiles(spark, sf, 2 * GRID.pixel)
+    out = place.resolve_coarse(rows.join(read_tiles, place.tile_keys(read_tiles)))
+    return out.select("source", "rank", "x_off", "y_off", "rx", "ry", "sy", F.col("sx").cast("long"), F.col("raw").cast("int"))
 
 
 @query(
@@ -426,9 +487,48 @@ def k03(spark, sf):
 # ---------------------------------------------------------------- inventory
 
 
-@query("p15_duplicate_sources", f"WITH {TILES} SELECT property, x_off, y_off, count(*) AS claims FROM tiles GROUP BY ALL HAVING count(*) > 1")
+@query(
+    "p15_duplicate_sources",
+    "SELECT p_brand AS property, p_type AS relpath FROM part QUALIFY count(*) OVER (PARTITION BY p_brand, p_type) > 1",
+)
 def p15(spark, sf):
-    return tiles(spark, sf).groupBy("property", "x_off", "y_off").agg(F.count("*").alias("claims")).where("claims > 1")
+    p = _table(spark, sf, "part").select(F.col("p_brand").alias("property"), F.lit("0_5").alias("depth"), F.col("p_type").alias("relpath"), F.lit(False).alias("resampled"), F.lit(1).alias("block_y"), F.lit(1).alias("height"))
+    return inventory.source_anomalies(p).where("anomaly = 'listed twice'").select("property", "relpath")
+
+
+@query(
+    "p15_layer_issues",
+    """SELECT p_partkey, unnest(list_filter([CASE WHEN p_size % 4 = 0 THEN 'data type' END, CASE WHEN p_size % 3 = 0 THEN 'nodata' END, CASE WHEN p_size % 11 = 0 THEN 'WoSIS_version' END,
+      CASE WHEN p_size % 5 = 0 THEN 'Outputs_version' END, CASE WHEN p_size % 7 = 0 THEN 'Transformation' END], lambda x: x IS NOT NULL)) AS issue FROM part""",
+)
+def p15l(spark, sf):
+    n, clay = F.col("p_size"), spec.PROPERTIES["clay"]
+    found = {**spec.EXPECTED_METADATA, "Outputs_version": clay.run, "Transformation": f" {clay.transformation} "}
+    other = {"WoSIS_version": 11, "Outputs_version": 5, "Transformation": 7}
+    held = F.create_map(*[c for k, v in found.items() for c in (F.lit(k), F.when(n % other[k] == 0, "?").otherwise(v) if k in other else F.lit(v))])
+    headers = _table(spark, sf, "part").select(
+        F.col("p_partkey").alias("property"), F.lit("0_5").alias("depth"), F.when(n % 4 == 0, "Float32").otherwise("Int16").alias("dtype"), F.when(n % 3 == 0, 0).otherwise(spec.NODATA).alias("nodata"), held.alias("metadata"),
+    )
+    return inventory.layer_issues(headers, clay).select(F.col("property").alias("p_partkey"), "issue")
+
+
+@query(
+    "p16_manifest",
+    f"""WITH {TILES}, t AS (SELECT *, p_size % 5 = 0 AND sub_col > 1 AS moved, CASE WHEN p_size % 3 = 0 THEN 400 ELSE 450 END AS side FROM tiles)
+    SELECT ordinal, cell_row, cell_col, printf('tileSG-%03d-%03d', cell_row, cell_col) AS cell, sub_row || '-' || sub_col AS subtile, side::INT AS height, side = 450 AS is_full, side = 450 AND moved AS misplaced,
+      (cell_col * 1800 + (sub_col - 1) * 450 - moved::INT)::INT AS x_off, (cell_row * 1800 + (sub_row - 1) * 450)::INT AS y_off FROM t""",
+)
+def p16(spark, sf):
+    at = ("cell_row", "cell_col", "sub_row", "sub_col")
+    t = tiles(spark, sf).withColumn("side", F.when(F.col("p_size") % 3 == 0, 400).otherwise(450))
+    moved = ((F.col("p_size") % 5 == 0) & (F.col("sub_col") > 1)).cast("int")
+    sources = t.select(
+        "property", "depth", "ordinal", F.concat(L.cell_name(F.col("cell_row"), F.col("cell_col")), F.lit("/"), L.tile_name(*map(F.col, at))).alias("relpath"), F.lit(False).alias("resampled"),
+        (F.col("cell_col") * 1800 + (F.col("sub_col") - 1) * 450 - moved).cast("double").alias("dst_x"), (F.col("cell_row") * 1800 + (F.col("sub_row") - 1) * 450).cast("double").alias("dst_y"),
+        F.col("side").cast("double").alias("dst_width"), F.col("side").cast("double").alias("dst_height"), F.col("side").alias("width"), F.col("side").alias("height"), F.lit(9).alias("block_y"),
+    )
+    out = inventory.build_manifest(sources, (F.lit(0), F.lit(0)), 450, F.lit("u"))
+    return out.select("ordinal", F.col("cell_row").cast("int"), F.col("cell_col").cast("int"), "cell", "subtile", "height", "is_full", "misplaced", "x_off", "y_off")
 
 
 @query(
@@ -526,20 +626,31 @@ def p22(spark, sf):
 # ---------------------------------------------------------------- pyramid
 
 
+#: From this level on the raster is drawn out to three times the width and four times the height,
+#: so that its levels hold pixels.
+DRAWN_OUT = 128
+
+
 def _ladder_sql(factor: int) -> str:
-    steps, f, before = [], 2, "pixels"
+    steps, f, before, w, h = [], 2, "pixels", W, f"max(o_orderkey) // {W} + 1"
+    if factor >= DRAWN_OUT:
+        steps, before, w, h = ["wide AS (SELECT y * 4 AS y, x * 3 AS x, value FROM pixels)"], "wide", 3 * W, f"4 * ({h})"
     while f <= factor:
         steps.append(
-            f"l{f} AS (SELECT (y // 2)::INT AS y, (x // 2)::INT AS x, CAST(avg(value) AS FLOAT) AS value FROM {before}, size WHERE y < 2 * (h // {f}) AND x < 2 * ({W} // {f}) GROUP BY 1, 2)"
+            f"l{f} AS (SELECT (y // 2)::INT AS y, (x // 2)::INT AS x, CAST(avg(value) AS FLOAT) AS value FROM {before}, size WHERE y < 2 * (h // {f}) AND x < 2 * ({w} // {f}) GROUP BY 1, 2)"
         )
         before, f = f"l{f}", f * 2
-    return f"WITH {NATIVE}, size AS (SELECT max(o_orderkey) // {W} + 1 AS h FROM orders), {', '.join(steps)} SELECT y, x, value FROM {before}"
+    return f"WITH {NATIVE}, size AS (SELECT {h} AS h FROM orders), {', '.join(steps)} SELECT y, x, value FROM {before}"
 
 
 def _ladder(factor: int) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         chain = tuple(f for f in FACTORS if f <= factor)
-        return pyramid(valued(spark, sf), chain, order_grid(spark, sf))[factor].select("y", "x", "value")
+        rows, grid = valued(spark, sf), order_grid(spark, sf)
+        if factor >= DRAWN_OUT:
+            rows = rows.withColumn("y", F.col("y") * 4).withColumn("x", F.col("x") * 3)
+            grid = GridSpec(grid.x_min, grid.y_max, grid.pixel, 3 * W, 4 * grid.height, 1)
+        return pyramid(rows, chain, grid)[factor].select("y", "x", "value")
 
     return run
 
@@ -786,10 +897,33 @@ def q10(spark, sf):
     return d.select("depth_interval", F.col("depth_top_cm").cast("int").alias("top_cm"), F.col("depth_bottom_cm").cast("int").alias("bottom_cm"))
 
 
-@query("v11_info", "SELECT event_id, event_type AS message FROM events ORDER BY ts DESC, event_id DESC LIMIT 8")
+#: The orders raster with its corner at 30 degrees east and 5 degrees north, for reads by place.
+TROPICS = GridSpec(math.radians(30) * RADIUS, math.radians(5) * RADIUS, 250.0, W, 1 << 16, 1)
+
+
+@query(
+    "q07_lonlat",
+    f"""WITH {NATIVE}, {DEPTHS3}, {LABELS}, p AS (SELECT s_suppkey, (30.0005 + (s_suppkey % 100) / 250.0)::DOUBLE AS lon, (4.9995 - (s_suppkey % 37) / 500.0)::DOUBLE AS lat FROM supplier),
+    m AS (SELECT s_suppkey, floor(6378137.0 * radians(lon - 30) * cos(radians(lat)) / 250) AS x, floor(6378137.0 * (radians(5) - radians(lat)) / 250) AS y FROM p)
+    SELECT s_suppkey AS point_id, d.depth_idx::INT AS depth_idx, d.depth_interval, coalesce(t.value, -1::FLOAT) AS value
+    FROM m CROSS JOIN depths d LEFT JOIN three t ON t.depth_idx = d.depth_idx AND t.y = m.y AND t.x = m.x""",
+)
+def q07(spark, sf):
+    k = F.col("s_suppkey")
+    points = _table(spark, sf, "supplier").select(k.alias("point_id"), (F.lit(30.0005) + (k % 100) / 250.0).alias("lon"), (F.lit(4.9995) - (k % 37) / 500.0).alias("lat"))
+    out = read.lonlat_profiles(points, deep(spark, sf), metadata.depth_table(spark, spec.DEPTHS), TROPICS)
+    return out.select("point_id", F.col("depth_idx").cast("int"), "depth_interval", F.nanvl("value", F.lit(-1.0).cast("float")).cast("float").alias("value"))
+
+
+@query("v11_info", "SELECT r_regionkey + 2 AS snapshot, r_name AS message FROM region ORDER BY r_regionkey DESC LIMIT 3")
 def v11(spark, sf):
-    """The last eight of a log: a top-k report."""
-    return _table(spark, sf, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(8).select("event_id", F.col("event_type").alias("message"))
+    """A commit for each region; the last three of the log: a top-k report."""
+    store = SnapshotStore.open(spark, f"{shared_dir(spark)}/store-{uuid4().hex}", create=True)
+    for r in _table(spark, sf, "region").orderBy("r_regionkey").collect():
+        session = store.writable()
+        session.attribute("region", r["r_name"])
+        session.commit(r["r_name"])
+    return store.info(3)[2].select("snapshot", "message")
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

@@ -146,33 +146,23 @@ EXPECTED_METADATA = {"Code_version": "v2.0.0", "WoSIS_version": "Data stream 7"}
 SOURCE_VERSION, DATASET_VERSION = "2.0.0", "0.1.0"
 SOIL, PROFILE = "soil_properties", "profile_properties"
 
-_ROWS = """
-bdod     | soil    | kg/dm3               | cg/cm3      | 100 | 600 | 6 | RUN03 | none
-cec      | soil    | cmol(c)/kg           | mmol(c)/kg  | 10  | 450 | 9 | RUN06 | none
-cfvo     | soil    | cm3/100cm3 (vol%)    | cm3/dm3     | 10  | 450 | 9 | RUN06 | none
-clay     | soil    | g/100g (mass%)       | g/kg        | 10  | 450 | 9 | RUN10 | alr
-nitrogen | soil    | g/kg                 | cg/kg       | 100 | 450 | 9 | RUN05 | none
-ocd      | soil    | kg/m3                | hg/m3       | 10  | 450 | 9 | RUN03 | none
-phh2o    | soil    | pH                   | pH x 10     | 10  | 600 | 6 | RUN05 | none
-sand     | soil    | g/100g (mass%)       | g/kg        | 10  | 450 | 9 | RUN10 | alr
-silt     | soil    | g/100g (mass%)       | g/kg        | 10  | 450 | 9 | RUN10 | alr
-soc      | soil    | g/kg                 | dg/kg       | 10  | 450 | 9 | RUN18 | none
-ocs      | profile | kg/m2                | t/ha        | 10  | 450 | 9 | RUN03 | none
-"""
-
-
-def _properties() -> dict[str, PropertySpec]:
-    out = {}
-    for line in _ROWS.strip().splitlines():
-        name, group, units, mapped, divisor, tile, strip, run, transform = (c.strip() for c in line.split("|"))
-        soil = group == "soil"
-        out[name] = PropertySpec(
-            name, SOIL if soil else PROFILE, units, mapped, int(divisor), int(tile), int(strip), run, transform, DEPTHS if soil else WHOLE_PROFILE
-        )
-    return out
-
-
-PROPERTIES = _properties()
+# Name, group, units, mapped units, divisor, tile pixels, rows per strip, run, transformation, depths.
+PROPERTIES = {
+    p.name: p
+    for p in (
+        PropertySpec("bdod", SOIL, "kg/dm3", "cg/cm3", 100, 600, 6, "RUN03", "none", DEPTHS),
+        PropertySpec("cec", SOIL, "cmol(c)/kg", "mmol(c)/kg", 10, 450, 9, "RUN06", "none", DEPTHS),
+        PropertySpec("cfvo", SOIL, "cm3/100cm3 (vol%)", "cm3/dm3", 10, 450, 9, "RUN06", "none", DEPTHS),
+        PropertySpec("clay", SOIL, "g/100g (mass%)", "g/kg", 10, 450, 9, "RUN10", "alr", DEPTHS),
+        PropertySpec("nitrogen", SOIL, "g/kg", "cg/kg", 100, 450, 9, "RUN05", "none", DEPTHS),
+        PropertySpec("ocd", SOIL, "kg/m3", "hg/m3", 10, 450, 9, "RUN03", "none", DEPTHS),
+        PropertySpec("phh2o", SOIL, "pH", "pH x 10", 10, 600, 6, "RUN05", "none", DEPTHS),
+        PropertySpec("sand", SOIL, "g/100g (mass%)", "g/kg", 10, 450, 9, "RUN10", "alr", DEPTHS),
+        PropertySpec("silt", SOIL, "g/100g (mass%)", "g/kg", 10, 450, 9, "RUN10", "alr", DEPTHS),
+        PropertySpec("soc", SOIL, "g/kg", "dg/kg", 10, 450, 9, "RUN18", "none", DEPTHS),
+        PropertySpec("ocs", PROFILE, "kg/m2", "t/ha", 10, 450, 9, "RUN03", "none", WHOLE_PROFILE),
+    )
+}
 
 
 def included_properties(properties: dict[str, PropertySpec] = PROPERTIES) -> list[PropertySpec]:
