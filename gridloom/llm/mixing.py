@@ -128,7 +128,8 @@ def mix(docs: DataFrame, per_source: DataFrame, block_tokens: int = 250_000, see
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), _source(source_col).alias("source"), token_estimate(text_col).alias("size")
     )
-    rows = _joined(rows, per_source)
+    # rows of one id and size are interchangeable: one row with a count, the same in every epoch
+    rows = _joined(rows.groupBy("source", "doc_id", "size").agg(F.count("*").alias("copies")), per_source)
     last = F.col("whole") - F.when(F.col("rest") > 0, 0).otherwise(1)
     rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     rows = rows.withColumn("key", permutation_key(seed, F.col("epoch"), F.col("doc_id")))
@@ -136,17 +137,16 @@ def mix(docs: DataFrame, per_source: DataFrame, block_tokens: int = 250_000, see
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     rows = rows.withColumn("block", F.floor(place * blocks / F.lit(1 << 32)).cast("long"))
     keys = ["source", "epoch", "block"]
-    totals = rows.groupBy(*keys).agg(F.sum("size").alias("held"))
+    totals = rows.groupBy(*keys).agg(F.sum(F.col("size") * F.col("copies")).alias("held"))
     bases = _block_bases(totals)
     # texts without tokens in a source without any stand at its start, wherever they lie
     nothing = (F.col("tokens") == 0) & (F.col("size") == 0)
     start = rows.where(nothing).withColumn("before", F.lit(0).cast("long"))
-    # rows of one id and size are interchangeable: counted before they are shuffled
-    alike = rows.where(~nothing).groupBy(*keys, "key", "doc_id", "size", "tokens", "whole", "rest").agg(F.count("*").alias("copies"))
+    columns = ["doc_id", *keys, "key", "size", "copies"]
     inner = Window.partitionBy(*keys).orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    alike = alike.withColumn("inner", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inner), F.lit(0))).join(bases, keys)
-    columns = ["doc_id", *keys, "key", "size", "tokens", "whole", "rest", "before"]
-    placed = _each_copy(alike.withColumn("before", F.col("base") + F.col("inner"))).select(*columns).unionByName(start.select(*columns))
+    inside = rows.where(~nothing).select(*columns).withColumn("inner", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inner), F.lit(0)))
+    inside = inside.join(bases, keys).withColumn("before", F.col("base") + F.col("inner"))
+    placed = _joined(_each_copy(inside.select(*columns, "before").unionByName(start.select(*columns, "before"))), per_source)
     before = F.col("before")
     used = placed.where((F.col("epoch") < F.col("whole")) | (before + F.col("size") <= F.col("rest")))
     return used.select(
