@@ -243,7 +243,7 @@ def detect(docs: DataFrame, model: SpanModel | None = None, id_col: str = "doc_i
         F.sort_array(F.collect_list(F.when(~F.col("base"), F.col("span")))).alias("added"),
     )
     none = F.array().cast("array<struct<order:int,kind:string,start:bigint,end:bigint>>")
-    out = rows.select("row", "doc_id").join(lists, "row", "left")
+    out = rows.select("row", "doc_id").join(lists.hint("merge"), "row", "left")  # lists grow with the documents: never broadcast
     return out.select("doc_id", F.coalesce("base", none).alias("base"), F.coalesce("added", none).alias("added"))
 
 
