@@ -204,9 +204,10 @@ def repeat_documents(docs: DataFrame, max_repetition: float = 2.0, block_tokens:
     read file by file are a permutation of blocks that each hold the mixture.
 
     A source's partial epoch ends at one place of its permutation, so that rows are chosen where
-    they lie; texts are shuffled once, to their blocks. Documents of one hash place share its
-    fate. Null texts, sources and ids and repeated rows are used like others; long texts are not
-    cut; no rows give none.
+    they lie; texts are shuffled once, to their blocks. Rows of one id share their fate in it.
+    Their places come from id and text, so that an id with any share of the rows spreads over
+    the blocks; only rows equal in both stand together. Null texts, sources and ids and repeated
+    rows are used like others; long texts are not cut; no rows give none.
     """
     per_source = materialize(weights(docs, max_repetition), "weights")
     used = mix(docs, per_source, block_tokens, seed)
@@ -217,14 +218,16 @@ def repeat_documents(docs: DataFrame, max_repetition: float = 2.0, block_tokens:
     blocks = per_source.agg(F.sum(F.col("tokens") * F.col("repetition"))).first()[0] or 0
     blocks = max(1, math.ceil(blocks / block_tokens))
     names = docs.columns
-    rows = _joined(docs.select(F.struct(*[docs[c] for c in names]).alias("row"), _source("source").alias("source"), "doc_id"), ends)
+    rows = _joined(docs.select(F.struct(*[docs[c] for c in names]).alias("row"), _source("source").alias("source"), "doc_id", F.xxhash64("text").alias("of_text")), ends)
     mine = F.struct(permutation_key(seed, F.col("whole"), F.col("doc_id")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"))
     times = F.col("whole").cast("int") + F.when(mine <= F.col("cut"), 1).otherwise(0)
     rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), times.cast("long") - 1)))
-    rows = rows.withColumn("key", permutation_key(seed, F.col("epoch"), F.col("doc_id")))
+    own = F.concat_ws("/", F.col("doc_id").cast("string"), F.col("of_text").cast("string"))
+    rows = rows.withColumn("key", permutation_key(seed, F.col("epoch"), own))
     part = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32)
     # an unfinished epoch's documents are spread over as much of the budget as it fills
-    rows = rows.withColumn("at", (F.col("epoch") + part) / F.greatest(F.col("budget"), F.lit(1.0)))
+    fills = F.least(F.lit(1.0), F.col("budget") - F.col("epoch"))
+    rows = rows.withColumn("at", (F.col("epoch") + part * fills) / F.greatest(F.col("budget"), F.lit(1.0)))
     rows = rows.withColumn("block", F.least(F.floor(F.col("at") * blocks), F.lit(blocks - 1)).cast("long"))
     ordered = rows.repartition("block").sortWithinPartitions("block", "at", "key", "doc_id")
     return ordered.select("row.*")

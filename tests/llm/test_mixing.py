@@ -138,3 +138,17 @@ def test_hot_ids(spark, tmp_path, monkeypatch):
     con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     assert got == sorted(map(str, con.sql(oracle_sql()["op4_mixing"]).fetchall()))
     assert len(got) >= 900
+
+
+def test_hot_id_spreads_over_the_mixture(spark):
+    """A third of the rows share an id, as many have none, all texts differ: neither stands together."""
+    rows = [(5 if i % 3 == 0 else None if i % 3 == 1 else i, f"text {i} " * 9, "a" if i % 4 else "b", None, None) for i in range(1800)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    order = [r["doc_id"] for r in mixing.repeat_documents(docs, 2.0, block_tokens=1 << 40).coalesce(1).collect()]
+    assert {r[0] for r in rows} == set(order) and len(order) >= len(rows)
+    for hot in (5, None):
+        longest = run = 0
+        for i in order:
+            run = run + 1 if i == hot else 0
+            longest = max(longest, run)
+        assert longest < 20
