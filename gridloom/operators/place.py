@@ -60,9 +60,9 @@ def check_tiles(tiles: DataFrame, manifest: DataFrame, grid: GridSpec = GRID) ->
     return rows.where(F.when(F.col("error").isNull(), ok).otherwise(F.lit(True)))
 
 
-def place(rows: DataFrame, divisor: int) -> DataFrame:
-    """One row per pixel of every read tile: its canonical place, decoded value (nodata as NaN)
-    and the tile's ordinal."""
+def source_pixels(rows: DataFrame) -> DataFrame:
+    """One row per pixel of every read tile: its canonical place, the source's integer and the
+    tile's ordinal."""
     each = rows.where("values is not null").select(
         "property", "depth_idx", "ordinal", "x_off", "y_off", F.col("header.width").alias("w"), F.posexplode("values").alias("pos", "raw")
     )
@@ -71,11 +71,16 @@ def place(rows: DataFrame, divisor: int) -> DataFrame:
         "depth_idx",
         (F.col("y_off") + div(F.col("pos"), F.col("w"))).cast("int").alias("y"),
         (F.col("x_off") + F.col("pos") % F.col("w")).cast("int").alias("x"),
-        decode(F.col("raw"), divisor).alias("value"),
+        "raw",
         "ordinal",
     )
 
 
+def place(rows: DataFrame, divisor: int) -> DataFrame:
+    """``source_pixels`` with the decoded value (nodata as NaN) for the integer."""
+    return source_pixels(rows).select(*PIXEL, decode(F.col("raw"), divisor).alias("value"), "ordinal")
+
+
 def overwrite(pixels: DataFrame, order: str | Column = "ordinal") -> DataFrame:
     """The last writer of each pixel by manifest order, nodata included: NaN takes part and
     stays NaN. A partial aggregate, so tiles that don't overlap cost no more than their rows."""

@@ -17,24 +17,21 @@ from gridloom.functions import metadata
 from gridloom.functions.lattice import TILE_NAME, div, mosaic_offset
 from gridloom.operators import checks, inventory, ledger, place
 from gridloom.operators.pyramid import plan_counts, pyramid, regions
-from gridloom.plans.store import LEDGER_CELLS, EncodingMismatch, Session, SnapshotStore, StoreError
+from gridloom.plans.store import LEDGER_CELLS, EncodingMismatch, Session, SnapshotStore, StoreError, retried
 from gridloom.sources.inventory import parse_mosaic
 from gridloom.spec import EncodingSpec, GridSpec, PropertySpec
 
 Checkpoint = Callable[[Session], None]
 
 
-def init_store(store: SnapshotStore, properties: list[PropertySpec], grid: GridSpec, encoding: EncodingSpec, factors: tuple[int, ...]) -> list[str]:
-    """Create what is missing: groups, coordinates, attributes and empty arrays, natively and
-    for each level. Idempotent and additive; another encoding is refused. Returns what was
-    created."""
-    held = store.attributes()
-    session = store.writable()
-    created = []
+def catalogue(properties: list[PropertySpec], grid: GridSpec, encoding: EncodingSpec, factors: tuple[int, ...]) -> dict[str, object]:
+    """Every node of a store by its path, with its attributes: root, coordinates and the arrays,
+    natively and for each level."""
+    axes = metadata.coordinates(grid)
     wanted: dict[str, object] = {
         "/": {"region": metadata.region_note(grid), "spatial_ref": metadata.spatial_ref(grid), "multiscales": metadata.multiscales(factors)},
-        "/x": metadata.coordinates(grid)["x"],
-        "/y": metadata.coordinates(grid)["y"],
+        "/x": axes["x"] | {"size": grid.width, "first": grid.x_min + grid.pixel / 2},
+        "/y": axes["y"] | {"size": grid.height, "first": grid.y_max - grid.pixel / 2},
     }
     shapes = {1: (grid.height, grid.width), **grid.level_shapes(factors)}
     for p in properties:
@@ -52,6 +49,17 @@ def init_store(store: SnapshotStore, properties: list[PropertySpec], grid: GridS
                 "codec": f"{encoding.codec}-{encoding.level}",
                 "depth_interval": [d.label for d in p.depths],
             }
+    return wanted
+
+
+def init_store(store: SnapshotStore, properties: list[PropertySpec], grid: GridSpec, encoding: EncodingSpec, factors: tuple[int, ...]) -> list[str]:
+    """Create what is missing: groups, coordinates, attributes and empty arrays, natively and
+    for each level. Idempotent and additive; another encoding is refused. Returns what was
+    created."""
+    held = store.attributes()
+    wanted = catalogue(properties, grid, encoding, factors)
+    session = store.writable()
+    created = []
     for path, value in wanted.items():
         before = held.get(path)
         if before is None:
@@ -194,38 +202,78 @@ def pixels_of(store: SnapshotStore, prop: PropertySpec, encoding: EncodingSpec,
     return place.from_blocks(store.spark.read.schema(spec.BLOCKS).parquet(*folders), encoding.shard)
 
 
-def build_overviews(store: SnapshotStore, prop: PropertySpec, grid: GridSpec, encoding: EncodingSpec, factors: tuple[int, ...], rebuild: bool = False, partial: bool = False) -> int:
+def _flagged(pixels: DataFrame, cells: DataFrame, span: int, grid: GridSpec) -> DataFrame:
+    """``pixels`` with ``inside``: whether one of ``cells`` lies under it, a pixel spanning
+    ``span`` native ones. Its corners are looked up in the cells, which a grid bounds."""
+    if span > grid.cell_px:
+        raise spec.SpecError("a pixel spans more than a cell")
+    names = []
+    for k, (dy, dx) in enumerate(((0, 0), (0, 1), (1, 0), (1, 1))):
+        edge = lambda c, late: div((F.col(c).cast("long") + late) * span - late, grid.cell_px).cast("int")
+        names.append(f"in_{k}")
+        marked = cells.select(F.col("cell_row").alias("at_row"), F.col("cell_col").alias("at_col"), F.lit(True).alias(names[-1]))
+        pixels = pixels.withColumn("at_row", edge("y", dy)).withColumn("at_col", edge("x", dx)).join(F.broadcast(marked), ["at_row", "at_col"], "left").drop("at_row", "at_col")
+    return pixels.withColumn("inside", F.coalesce(*names, F.lit(False))).drop(*names)
+
+
+def _mark_built(store: SnapshotStore, prop: PropertySpec) -> int:
+    session = store.writable()
+    session.record("built", [(prop.name,)])
+    return session.commit(f"{prop.name}: built")
+
+
+def build_overviews(
+    store: SnapshotStore,
+    prop: PropertySpec,
+    grid: GridSpec,
+    encoding: EncodingSpec,
+    factors: tuple[int, ...],
+    rebuild: bool = False,
+    partial: bool = False,
+    cells: list[tuple[int, int]] | None = None,
+) -> int:
     """All levels of a property, each its own commit under a resume token that holds the scope.
     A token of another scope is ignored; a finished build clears it and, unless ``partial``,
-    records the property as built. Returns the levels written."""
+    records the property as built, in a commit of its own that is retried. With ``cells`` only
+    pixels over those of them that are written are computed again, the level's others stay, and
+    the build is partial. Returns the levels written."""
     spark = store.spark
+    partial = partial or cells is not None
     if not rebuild and not partial and store.ledger("built", "property string").where(F.col("property") == prop.name).count():
         return 0
-    cells = [(r["cell_row"], r["cell_col"]) for r in ledger.done_cells(store.ledger("cells", LEDGER_CELLS)).where(F.col("property") == prop.name).collect()]
-    if not cells:
+    held = sorted((r["cell_row"], r["cell_col"]) for r in ledger.done_cells(store.ledger("cells", LEDGER_CELLS)).where(F.col("property") == prop.name).collect())
+    todo = held if cells is None else sorted(set(held) & set(cells))
+    if not todo:
         raise StoreError(f"{prop.name} has no cells yet")
-    scope = metadata.scope_key(prop.name, factors, cells)
+    scope = metadata.scope_key(prop.name, factors, todo)
     token = store.attributes().get(f"progress/{prop.name}") or {}
     start = factors.index(token["factor"]) + 1 if token.get("key") == scope and token.get("factor") in factors else 0
     shapes = grid.level_shapes(factors)
-    total = plan_counts(regions(spark.createDataFrame(cells, "cell_row int, cell_col int"), factors, encoding.shard, len(prop.depths), grid)).agg(F.sum("regions")).first()[0]
+    wanted = spark.createDataFrame(todo, "cell_row int, cell_col int")
+    total = plan_counts(regions(wanted, factors, encoding.shard, len(prop.depths), grid)).agg(F.sum("regions")).first()[0]
     source = pixels_of(store, prop, encoding, factors[start - 1] if start else 1)
     done = factors[start - 1] if start else 1
     written = 0
     for f in factors[start:]:
         sub = GridSpec(grid.x_min, grid.y_max, grid.pixel * done, *reversed(shapes[done] if done > 1 else (grid.height, grid.width)), 1)
+        if cells is not None:  # parents of every level pixel that is computed again
+            over = source.withColumn("fine_y", F.col("y")).withColumn("fine_x", F.col("x"))
+            over = over.withColumn("y", div(F.col("y"), f // done)).withColumn("x", div(F.col("x"), f // done))
+            source = _flagged(over, wanted, f, grid).where("inside").withColumn("y", F.col("fine_y")).withColumn("x", F.col("fine_x")).drop("fine_y", "fine_x", "inside")
         level = pyramid(source.drop("factor"), (f // done,), sub)[f // done].withColumn("factor", F.lit(f))
+        if cells is not None:
+            kept = _flagged(pixels_of(store, prop, encoding, f), wanted, f, grid).where("not inside").select(*spec.PIXELS.fieldNames())
+            level = level.select(*spec.PIXELS.fieldNames()).unionByName(kept)
         session = store.writable()
         session.write(f"blocks/{prop.name}/{f}/all", place.to_blocks(level, prop.group, encoding.shard, *shapes[f]))
-        last = f == factors[-1]
-        if last:
+        if f == factors[-1]:
             session.clear(f"progress/{prop.name}")
-            if not partial:
-                session.record("built", [(prop.name,)])
         else:
             session.attribute(f"progress/{prop.name}", {"key": scope, "factor": f, "done": factors.index(f) + 1, "total": total})
         session.commit(f"{prop.name}: level {f}x")
         source, done, written = pixels_of(store, prop, encoding, f), f, written + 1
+    if not partial:
+        retried(lambda: _mark_built(store, prop))
     return written
 
 
@@ -237,14 +285,58 @@ def status(store: SnapshotStore, manifest: DataFrame) -> DataFrame:
     )
 
 
-def validate(store: SnapshotStore, properties: list[PropertySpec], grid: GridSpec, encoding: EncodingSpec, factors: tuple[int, ...], ref: int | str | None = None) -> DataFrame:
-    """Structure and every level of every property, recomputed: one row per check."""
+def structure_checks(store: SnapshotStore, properties: list[PropertySpec], grid: GridSpec, encoding: EncodingSpec, factors: tuple[int, ...], ref: int | str | None = None) -> DataFrame:
+    """Every attribute of every node against the catalogue, as of a snapshot: one row each."""
+    wanted, held = catalogue(properties, grid, encoding, factors), store.attributes(ref)
+    items = lambda nodes: [(path, k, json.dumps(v, sort_keys=True)) for path in wanted for k, v in dict(nodes.get(path) or {}).items()]
+    schema = "path string, item string, value string"
+    found = checks.structure(store.spark.createDataFrame(items(wanted), schema), store.spark.createDataFrame(items(held), schema))
+    return found.withColumn("check", F.concat(F.lit("structure:"), "check"))
+
+
+def _content_checks(store: SnapshotStore, p: PropertySpec, manifest: DataFrame, tiles: DataFrame, grid: GridSpec, encoding: EncodingSpec, ref: int | str | None) -> list[tuple[str, bool, str]]:
+    """A property's stored pixels against its sources, in the cells that are written: equal
+    integers, no hole that a coarse source fills, the projection of its tiles."""
+    done = ledger.done_cells(store.ledger("cells", LEDGER_CELLS, ref)).where(F.col("property") == p.name).select("cell_row", "cell_col")
+    done = F.broadcast(done)  # bounded by the grid's cells
+    own = place.depth_index(manifest.where(F.col("property") == p.name), p)
+    names = place.tile_keys(tiles)
+    within = lambda df: df.join(done, [div(F.col("y"), grid.cell_px).cast("int") == done["cell_row"], div(F.col("x"), grid.cell_px).cast("int") == done["cell_col"]], "left_semi")
+    fine, coarse = own.where("not resampled_in_vrt").drop("cell_row", "cell_col"), own.where("resampled_in_vrt")
+    stored = pixels_of(store, p, encoding, 1, ref)
+    source = place.source_pixels(place.check_tiles(tiles, fine, grid)).groupBy(*checks.PIXEL).agg(F.max_by("raw", "ordinal").alias("raw"))
+    exact = checks.byte_exact(within(source), stored, p.divisor).first()
+    pixels, differing = (exact["pixels"], exact["differing"]) if exact else (0, 0)
+    opened = place.resolve_coarse(coarse.join(tiles, names), grid).withColumn("value", place.decode(F.col("raw"), p.divisor))
+    holes = checks.coarse_holes(place.expand_coarse(opened, grid), place.covered_pixels(fine), stored, done, grid.cell_px).count()
+    sample = checks.crs_sample(tiles.join(fine.select(*names), names, "left_semi").where("header is not null"), grid.pixel)
+    foreign, tiled = sample.agg(F.count_if(~(F.col("crs_ok") & F.col("pixel_ok"))), F.count("*")).first()
+    return [
+        (f"tiles:{p.name}", differing == 0, f"{differing} of {pixels} pixels differ"),
+        (f"holes:{p.name}", holes == 0, f"{holes} pixels are empty"),
+        (f"crs:{p.name}", foreign == 0, f"{foreign} of {tiled} tiles are of another projection or pixel size"),
+    ]
+
+
+#: The properties that make up a whole.
+TEXTURE = ("sand", "silt", "clay")
+
+
+def validate(
+    store: SnapshotStore,
+    properties: list[PropertySpec],
+    grid: GridSpec,
+    encoding: EncodingSpec,
+    factors: tuple[int, ...],
+    ref: int | str | None = None,
+    manifest: DataFrame | None = None,
+    tiles: DataFrame | None = None,
+) -> DataFrame:
+    """One row per check: the structure, every level recomputed, the sums of the texture where
+    all three parts are among the properties, and, given ``manifest`` and decoded ``tiles``, the
+    stored pixels against their sources. All pixels take part, none is sampled."""
     rows = []
-    attrs = store.attributes(ref)
     for p in properties:
-        for f in (1, *factors):
-            path = p.array_path if f == 1 else f"{p.group}/{f}x/{p.name}"
-            rows.append((f"structure:{path}", path in attrs and attrs[path]["dtype"] == "float32", "array exists"))
         before = 1
         shapes = grid.level_shapes(factors)
         for f in factors:
@@ -252,16 +344,27 @@ def validate(store: SnapshotStore, properties: list[PropertySpec], grid: GridSpe
             bad = checks.recompute(parent, level, f // before, *shapes[f]).count()
             rows.append((f"overview:{p.name}:{f}x", bad == 0, f"{bad} pixels differ"))
             before = f
-    return store.spark.createDataFrame(rows, spec.CHECKS)
+        if manifest is not None and tiles is not None:
+            rows += _content_checks(store, p, manifest, tiles, grid, encoding, ref)
+    by_name = {p.name: p for p in properties}
+    if all(n in by_name for n in TEXTURE):
+        total = checks.closure(*(pixels_of(store, by_name[n], encoding, 1, ref) for n in TEXTURE)).first()
+        rows.append(("texture", total["failed"] == 0, f"{total['failed']} of {total['pixels']} sums aren't 100 %"))
+    found = structure_checks(store, properties, grid, encoding, factors, ref)
+    return found.unionByName(store.spark.createDataFrame(rows, spec.CHECKS))
 
 
-def release(store: SnapshotStore, manifest: DataFrame, tag: str) -> int:
-    """Tag the head if every property is complete and built."""
+def release(store: SnapshotStore, manifest: DataFrame, tag: str, properties: list[PropertySpec], grid: GridSpec, encoding: EncodingSpec, factors: tuple[int, ...]) -> int:
+    """Tag the head if every property is complete and built, and check the structure again as it
+    is read through the tag, which stays."""
     complete = ledger.complete_properties(manifest, store.ledger("cells", LEDGER_CELLS))
     gate = checks.release_gate(ledger.expected_cells(manifest), complete, store.ledger("built", "property string"))
     if blockers := gate.collect():
         raise StoreError("not releasable: " + ", ".join(sorted(f"{r['property']} {r['reason']}" for r in blockers)))
-    return store.tag(tag)
+    number = store.tag(tag)
+    if failed := structure_checks(store, properties, grid, encoding, factors, tag).where("not passed").count():
+        raise StoreError(f"{failed} checks of the structure fail through {tag}")
+    return number
 
 
 def write_manifest(manifest: DataFrame, report: dict[str, object], folder: str) -> None:

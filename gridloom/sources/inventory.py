@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.lattice import guard
+from gridloom.sources.remote import fetch_column
+from gridloom.spec import DepthInterval, PropertySpec
 
 ROW = r"(?is)<tr[^>]*>\s*<td[^>]*>(.*?)</td>\s*<td[^>]*>(.*?)</td>\s*<td[^>]*>(.*?)</td>\s*<td[^>]*>.*?</td>\s*</tr>"
 
@@ -84,3 +88,17 @@ def parse_mosaic(docs: DataFrame, xml_col: str = "xml") -> tuple[DataFrame, Data
         ((width != F.col("s.DstRect._xSize")) | (height != F.col("s.DstRect._ySize"))).alias("resampled"),
     )
     return headers, rows
+
+
+def mosaic_url(base_url: str, prop: PropertySpec, depth: DepthInterval) -> str:
+    """Where a layer's mosaic document lies under the source's address."""
+    return f"{base_url.rstrip('/')}/{prop.name}/{prop.layer_dir(depth)}.vrt"
+
+
+def download_mosaics(spark: SparkSession, base_url: str, layers: Iterable[tuple[PropertySpec, DepthInterval]], partitions: int = 8, per_second: float | None = None) -> DataFrame:
+    """``(property, depth, url, xml, error)`` for every layer, over a bounded number of
+    connections; a layer that can't be read has its error instead of a document."""
+    rows = [(p.name, d.label, mosaic_url(base_url, p, d)) for p, d in layers]
+    wanted = spark.createDataFrame(rows, "property string, depth string, url string")
+    got = fetch_column(wanted, "url", partitions, per_second=per_second)
+    return got.select("property", "depth", "url", F.decode("content", "UTF-8").alias("xml"), "error")

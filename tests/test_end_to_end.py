@@ -16,6 +16,7 @@ SMALL = GridSpec(GRID.x_min, GRID.y_max, 250.0, 180, 180, 90)
 ENC = EncodingSpec(chunk=5, shard=45)
 CLAY = PropertySpec("clay", spec.SOIL, "%", "g/kg", 10, 45, 9, "RUN10", depths=DEPTHS[:2])
 LEVELS = (2, 4)
+GOODE = "Interrupted_Goode_Homolosine"
 
 
 def value(y, x, depth):
@@ -37,11 +38,11 @@ def build(spark, folder, ocean=((0, 1),)):
                 part = whole[ty * 45 : ty * 45 + 45, tx * 45 : tx * 45 + 45]
                 rel = f"{depth.label}/t{ty}{tx}.tif"
                 (folder / depth.label).mkdir(exist_ok=True)
-                (folder / rel).write_bytes(tiff.encode(part, (GRID.x_min + tx * 11250, GRID.y_max - ty * 11250), (250.0, 250.0)))
+                (folder / rel).write_bytes(tiff.encode(part, (GRID.x_min + tx * 11250, GRID.y_max - ty * 11250), (250.0, 250.0), crs=GOODE))
                 rows.append(("clay", depth.label, "", "", "", rel, 45, 45, tx * 45, ty * 45, ty // 2, tx // 2, True, 9, False, None, None, None, ordinal))
                 ordinal += 1
         rel = f"{depth.label}/coarse.tif"
-        (folder / rel).write_bytes(tiff.encode(np.full((3, 4), 777, np.int16), (GRID.x_min + 132 * 250, GRID.y_max - 132 * 250), (12 * 250.0, 16 * 250.0), 2))
+        (folder / rel).write_bytes(tiff.encode(np.full((3, 4), 777, np.int16), (GRID.x_min + 132 * 250, GRID.y_max - 132 * 250), (12 * 250.0, 16 * 250.0), 2, crs=GOODE))
         rows.append(("clay", depth.label, "", "", "", rel, 48, 48, 132, 132, 1, 1, False, 2, True, None, None, None, ordinal))
         ordinal += 1
     manifest = spark.createDataFrame(rows, spec.MANIFEST)
@@ -87,7 +88,7 @@ def test_whole_run(spark, world):
     with pytest.raises(KeyboardInterrupt):
         C.materialize(store, CLAY, manifest, tiles, SMALL, ENC, commit_every=1, checkpoint=lambda s: (_ for _ in ()).throw(KeyboardInterrupt()))
     with pytest.raises(StoreError, match="clay incomplete"):
-        C.release(store, manifest, "v0")
+        C.release(store, manifest, "v0", [CLAY], SMALL, ENC, LEVELS)
     state = C.status(store, manifest).first()
     assert (state["done"], state["expected"], state["state"], state["overviews"]) == (1, 4, "partial", "none")
     stats = C.materialize(store, CLAY, manifest, tiles, SMALL, ENC)
@@ -106,11 +107,29 @@ def test_whole_run(spark, world):
     with np.errstate(invalid="ignore"):
         want = np.where(np.isnan(blocks4).all(-1), np.nan, np.nanmean(np.where(np.isnan(blocks4).all(-1, keepdims=True), 0, blocks4).astype(float), -1))
     assert np.allclose(dense(level, 0, 90, 90), want, rtol=1e-6, equal_nan=True)
-    assert C.validate(store, [CLAY], SMALL, ENC, LEVELS).where("not passed").count() == 0
-    C.release(store, manifest, "v1")
+    found = C.validate(store, [CLAY], SMALL, ENC, LEVELS, manifest=manifest, tiles=tiles).collect()
+    assert [r for r in found if not r["passed"]] == []
+    assert {f"{k}:clay" for k in ("tiles", "holes", "crs")} < {r["check"] for r in found}
+    assert next(r for r in found if r["check"] == "tiles:clay")["message"] == f"0 of {2 * 15 * 45 * 45} pixels differ"
+    # another source, another projection, other levels: each is found by its own check
+    other = tiles.withColumn("values", F.when(F.col("relpath") == "0_5/t00.tif", F.transform("values", lambda v: (v + 1).cast("smallint"))).otherwise(F.col("values")))
+    other = other.withColumn("header", F.when(F.col("relpath") == "0_5/t10.tif", F.col("header").withField("crs", F.lit("Mercator"))).otherwise(F.col("header")))
+    found = {r["check"]: r for r in C.validate(store, [CLAY], SMALL, ENC, (2,), manifest=manifest, tiles=other).collect() if not r["passed"]}
+    assert found["tiles:clay"]["message"].startswith("2025 of") and found["crs:clay"]["message"].startswith("1 of")
+    assert any(k.startswith("structure:/:multiscales") for k in found)
+    C.release(store, manifest, "v1", [CLAY], SMALL, ENC, LEVELS)
     with pytest.raises(StoreError, match="used once"):
-        C.release(store, manifest, "v1")
-    assert store.tags() == ["v1"] and C.validate(store, [CLAY], SMALL, ENC, LEVELS, ref="v1").where("not passed").count() == 0
+        C.release(store, manifest, "v1", [CLAY], SMALL, ENC, LEVELS)
+    levels = {f: sorted(map(tuple, C.pixels_of(store, CLAY, ENC, f).select(*spec.PIXELS.fieldNames()).collect())) for f in LEVELS}
+    head = store.head()
+    C.materialize(store, CLAY, manifest, tiles.withColumn("values", F.transform("values", lambda v: F.when(v > 0, v + 10).otherwise(v).cast("smallint"))), SMALL, ENC, cells=[(1, 0)], overwrite=True)
+    assert C.build_overviews(store, CLAY, SMALL, ENC, LEVELS, cells=[(1, 0), (7, 7)]) == 2
+    assert C.validate(store, [CLAY], SMALL, ENC, LEVELS).where("not passed").count() == 0
+    for f in LEVELS:
+        again = sorted(map(tuple, C.pixels_of(store, CLAY, ENC, f).select(*spec.PIXELS.fieldNames()).collect()))
+        moved = {(a[3], a[4]) for a, b in zip(again, levels[f]) if a != b}
+        assert len(again) == len(levels[f]) and moved == {(y, x) for y in range(90 // f, -(-180 // f)) for x in range(-(-90 // f))}
+    assert store.head() > head and store.tags() == ["v1"] and C.validate(store, [CLAY], SMALL, ENC, LEVELS, ref="v1").where("not passed").count() == 0
     assert C.status(store, manifest).first()["state"] == "complete"
 
 

@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom import spec
 from gridloom.sources import tiff
-from gridloom.sources.inventory import parse_listing, parse_mosaic
+from gridloom.sources.inventory import download_mosaics, mosaic_url, parse_listing, parse_mosaic
 from gridloom.sources.remote import PASSING, Drifted, Pace, Unreadable, Wanted, fetch_column, pauses, read, read_urls
 
 
@@ -160,3 +161,14 @@ def test_mosaic(spark):
 def test_broken_mosaics(spark, xml, why):
     with pytest.raises(Exception, match=why):
         parse_mosaic(spark.createDataFrame([(xml,)], "xml string"))[0].collect()
+
+
+def test_mosaics_are_downloaded(spark, tmp_path):
+    prop = next(p for p, _ in spec.layers())
+    one, two = prop.depths[:2]
+    (tmp_path / prop.name).mkdir()
+    (tmp_path / prop.name / f"{prop.layer_dir(one)}.vrt").write_text("<VRTDataset/>")
+    got = {r["depth"]: r for r in download_mosaics(spark, f"file://{tmp_path}/", [(prop, one), (prop, two)], 2).collect()}
+    assert got[one.label]["xml"] == "<VRTDataset/>" and got[one.label]["error"] is None
+    assert got[two.label]["xml"] is None and got[two.label]["error"]
+    assert mosaic_url("x/", prop, one) == f"x/{prop.name}/{prop.layer_dir(one)}.vrt"
