@@ -204,9 +204,12 @@ def f04(spark, sf):
       3 * (s_suppkey % 5 + 1)::BIGINT AS height, (s_suppkey % 3 + 1)::BIGINT AS rx, (s_suppkey % 5 + 1)::BIGINT AS ry FROM supplier""",
 )
 def f07(spark, sf):
+    """Windows from key 5399 on lie beyond the product's own grid, so the lattice reaches as far as the last key's."""
     k = F.col("s_suppkey")
+    last = _table(spark, sf, "supplier").agg(F.max("s_suppkey")).first()[0] or 0
+    grid = GridSpec(GRID.x_min, GRID.y_max, GRID.pixel, last * 7 + 2 * 3, last * 11 + 3 * 5, 1)
     window = L.source_window(
-        F.lit(GRID.x_min) + k * 7 * GRID.pixel, F.lit(GRID.y_max) - k * 11 * GRID.pixel, (k % 3 + 1) * GRID.pixel, (k % 5 + 1) * GRID.pixel, F.lit(2), F.lit(3)
+        F.lit(grid.x_min) + k * 7 * grid.pixel, F.lit(grid.y_max) - k * 11 * grid.pixel, (k % 3 + 1) * grid.pixel, (k % 5 + 1) * grid.pixel, F.lit(2), F.lit(3), grid
     )
     return _table(spark, sf, "supplier").select("s_suppkey", window.alias("w")).select("s_suppkey", "w.*")
 

@@ -35,3 +35,15 @@ def test_same_rows(spark, con, name):
     want = sorted(map(repr, (tuple(r[i] for i in order) for r in cur.fetchall())))
     assert sorted(got.columns) == sorted(columns)
     assert rows == want
+
+
+def test_source_windows_of_many_suppliers(spark, tmp_path):
+    """Keys whose windows lie beyond the product's own grid: below its last row from 5399, past its last column from 22886."""
+    con, path = duckdb.connect(), f"{tmp_path}/supplier.parquet"
+    keys = "(0), (5398), (5399), (5400), (22885), (22886), (59999), (3000000000)"
+    con.execute(f"copy (select k::bigint as s_suppkey from (values {keys}) t(k)) to '{path}' (format parquet)")
+    con.execute(f"create view supplier as select * from '{path}'")
+    cur = con.execute(SQL["f07_source_window"])
+    columns, want = [d[0] for d in cur.description], sorted(cur.fetchall())
+    got = QUERIES["f07_source_window"](spark, str(tmp_path))
+    assert got.columns == columns and sorted(map(tuple, got.collect())) == want and len(want) == 8
